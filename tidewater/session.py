@@ -34,6 +34,7 @@ def local_session(cores: str = "8", app: str = "tidewater", memory: str = "12g")
         .appName(app)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
