@@ -2,7 +2,7 @@
 
 
 def all_queries():
-    from tidewater.plans import relational, scalar  # noqa: F401
+    from tidewater.plans import relational, scalar, sequences  # noqa: F401
     from tidewater.plans.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES
