@@ -103,7 +103,7 @@ def shape(found: DataFrame, graph: Graph, pattern: Pattern, timeouts: bool = Fal
 # Ways to run
 
 def _by_chain(df, seq, graph, paths, event, ts, within, timeouts) -> DataFrame:
-    out = chain.Lowering(df, seq, graph, paths, event).run()
+    out = chain.Lowering(df, seq, graph, paths, event, keep_dead=timeouts).run()
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     out = out.withColumnRenamed("path", "__no")
     none = F.lit(None).cast("timestamp")

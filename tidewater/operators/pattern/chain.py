@@ -14,8 +14,6 @@ what each kind of wait meets from the start of the next chunk on.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,132 +44,131 @@ def bits(graph: Graph) -> dict[str, Column]:
     return {f"__k{i}": F.coalesce(F.expr(t).cast("boolean"), F.lit(False)) for i, t in enumerate(graph.conditions)}
 
 
-def _k(i: int) -> Column:
-    return F.col(f"__k{i}")
-
-
-def _any(ids) -> Column:
-    return reduce(lambda a, b: a | b, [_k(i) for i in ids], F.lit(False)) if ids else F.lit(False)
+def _any(ids) -> str:
+    return "(" + " OR ".join(f"__k{i}" for i in ids) + ")" if ids else "false"
 
 
-def _all(ids) -> Column:
-    return reduce(lambda a, b: a & b, [_k(i) for i in ids], F.lit(True)) if ids else F.lit(True)
+def _all(ids) -> str:
+    return "(" + " AND ".join(f"__k{i}" for i in ids) + ")" if ids else "true"
 
 
 class Lowering:
-    def __init__(self, df: DataFrame, seq: S.Sequence, graph: Graph, paths, event: Column):
-        self.seq, self.graph, self.paths = seq, graph, paths
-        d = S.chunked(df, seq).withColumns(bits(graph)).withColumn("__ev", event)
+    """Expressions are SQL text: a plan has hundreds, and text is built in one call."""
+
+    def __init__(self, df: DataFrame, seq: S.Sequence, graph: Graph, paths, event: Column, keep_dead: bool = False):
+        self.seq, self.graph, self.paths, self.keep_dead = seq, graph, paths, keep_dead
+        d = S.chunked(df, seq).withColumns({**bits(graph), "__ev": event, "__ts": F.col(seq.ts).cast("timestamp")})
         self.d = d.select(
-            S.KEY, S.CHUNK, S.ORD, seq.ts, *[t for t in seq.tie if t != seq.ts], "__ev",
-            *[f"__k{i}" for i in range(len(graph.conditions))])
-        item = self.d.select(F.array(self._item(0)).alias("i")).schema["i"].dataType
-        self.empty = F.array().cast(item)
+            S.KEY, S.CHUNK, S.ORD, "__ev", "__ts", *[f"__k{i}" for i in range(len(graph.conditions))])
+        item = self.d.select(F.expr(f"array({self._item(0)})").alias("i")).schema["i"].dataType
+        self.empty = f"cast(array() AS {item.simpleString()})"
         waits = {tuple(p[i:]) for p in paths for i in range(1, len(p))}
         self.waits = sorted(waits, key=len)
         self.number = {w: n for n, w in enumerate(self.waits, start=1)}
 
+    # Rows of a chunk from the last to the first.
+    W = f"PARTITION BY {S.KEY}, {S.CHUNK} ORDER BY {S.ORD} DESC"
+    BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    UPTO = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    DOWN = f"PARTITION BY {S.KEY} ORDER BY {S.CHUNK} DESC"
+
     @staticmethod
-    def _item(slot: int) -> Column:
-        return F.struct(F.lit(slot).alias("slot"), F.col("__ev").alias("e"))
+    def _item(slot: int) -> str:
+        return f"named_struct('slot', {slot}, 'e', __ev)"
 
-    def _res(self, st, items: Column | None = None, dead: Column | None = None) -> Column:
-        return F.struct(
-            (F.lit(st) if isinstance(st, int) else st).cast("int").alias("st"),
-            (self.empty if items is None else items).alias("items"),
-            (F.lit(None).cast("timestamp") if dead is None else dead).alias("dead"),
-        )
+    def _res(self, st, items: str | None = None, dead: str = "cast(null AS timestamp)") -> str:
+        return f"named_struct('st', {st}, 'items', {items or self.empty}, 'dead', {dead})"
 
-    def _prepend(self, slot: int, after: Column) -> Column:
-        return self._res(after["st"], F.concat(F.array(self._item(slot)), after["items"]), after["dead"])
+    def _prepend(self, slot: int, rest) -> str:
+        one = f"array({self._item(slot)})"
+        if not rest:
+            return self._res(DONE, one)
+        r = f"__r{self.number[rest]}"
+        return self._res(f"{r}.st", f"concat({one}, {r}.items)", f"{r}.dead")
 
-    def _outcome(self, e: Edge, rest, killed: Column) -> Column:
+    def _outcome(self, e: Edge, rest, killed: str) -> str:
         """Outcome if this row decides the wait."""
-        dead = self._res(DEAD, dead=F.col(self.seq.ts).cast("timestamp"))
+        dead = self._res(DEAD, dead="__ts")
         if e.target == END:
-            return F.when(killed, dead).otherwise(self._res(DONE))
-        after = F.col(f"__r{self.number[rest]}") if rest else self._res(DONE)
-        ok = _k(self.graph.slots[e.target].condition) & ~_any(e.take_not)
+            return f"CASE WHEN {killed} THEN {dead} ELSE {self._res(DONE)} END"
+        ok = f"__k{self.graph.slots[e.target].condition} AND NOT {_any(e.take_not)}"
         if rest:
             # A forbidden row still ends the match as its last event.
-            ok = ok & ~killed
-        return F.when(ok, self._prepend(e.target, after)).otherwise(dead)
+            ok += f" AND NOT {killed}"
+        return f"CASE WHEN {ok} THEN {self._prepend(e.target, rest)} ELSE {dead} END"
 
     def run(self) -> DataFrame:
-        d, g = self.d, self.graph
-        w = S.local(self.seq, backward=True)
-        d = d.withColumn("__end", F.lag(F.lit(1)).over(w).isNull())
+        g = self.graph
+        d = self.d.selectExpr("*", f"lag(1) OVER ({self.W}) IS NULL AS __end")
         sums = []
         for wait in self.waits:
             n, (src, e), rest = self.number[wait], wait[0], wait[1:]
             fresh_kill = _any(g.fresh_kill.get(src, ()))
             on_fresh = self._outcome(e, rest, fresh_kill)
-            allowed = _all(e.need) & ~_any(e.veto)
-            dead = self._res(DEAD, dead=F.col(self.seq.ts).cast("timestamp"))
+            barred = f"WHEN NOT ({_all(e.need)} AND NOT {_any(e.veto)}) THEN {self._res(DEAD, dead='__ts')}"
+            open_ = f"CASE WHEN __end THEN {self._res(2 * n + 1)} ELSE {self._res(2 * n)} END"
+            parts = [f"lag(__x{n}) OVER ({self.W})"]
+            sums.append(f"min_by(__x{n}, {S.ORD}) AS __bx{n}")
             if e.mode == RELAXED:
-                decides = _k(g.slots[e.target].condition) | _any(e.ignore_not) | _any(e.kill)
-                x = F.when(~allowed, dead).when(decides | fresh_kill, on_fresh)
-                later = F.when(decides, self._outcome(e, rest, _any(e.kill)))
+                decides = f"(__k{g.slots[e.target].condition} OR {_any(e.ignore_not)} OR {_any(e.kill)})"
+                d = d.selectExpr(
+                    "*", f"CASE {barred} WHEN {decides} OR {fresh_kill} THEN {on_fresh} END AS __x{n}",
+                    f"CASE WHEN {decides} THEN {self._outcome(e, rest, _any(e.kill))} END AS __d{n}")
+                parts.append(f"last(__d{n}, true) OVER ({self.W} {self.BEFORE})")
+                sums.append(f"min_by(__d{n}, CASE WHEN __d{n} IS NOT NULL THEN {S.ORD} END) AS __bd{n}")
             else:
-                x = F.when(~allowed, dead).otherwise(on_fresh)
-                later = None
-            cols = {f"__x{n}": x}
-            if later is not None:
-                cols[f"__d{n}"] = later
-            d = d.withColumns(cols)
-            open_ = F.when(F.col("__end"), self._res(2 * n + 1)).otherwise(self._res(2 * n))
-            parts = [F.lag(f"__x{n}").over(w)]
-            sums.append(F.min_by(f"__x{n}", S.ORD).alias(f"__bx{n}"))
-            if later is not None:
-                parts.append(F.last(f"__d{n}", ignorenulls=True).over(w.rowsBetween(*S.BEFORE)))
-                sums.append(F.min_by(f"__d{n}", F.when(F.col(f"__d{n}").isNotNull(), F.col(S.ORD))).alias(f"__bd{n}"))
-            d = d.withColumn(f"__r{n}", F.coalesce(*parts, open_))
+                d = d.selectExpr("*", f"CASE {barred} ELSE {on_fresh} END AS __x{n}")
+            d = d.selectExpr("*", f"coalesce({', '.join(parts)}, {open_}) AS __r{n}")
         firsts = []
         for i, path in enumerate(self.paths):
             e = path[0][1]
-            ok = _k(g.slots[e.target].condition) & ~_any(e.take_not) & _all(e.need) & ~_any(e.veto)
-            rest = tuple(path[1:])
-            res = self._prepend(e.target, F.col(f"__r{self.number[rest]}") if rest else self._res(DONE))
-            firsts.append((i, F.when(ok, res)))
-        starts = d.select(S.KEY, S.CHUNK, *[r.alias(f"__p{i}") for i, r in firsts])
-        starts = starts.where(reduce(lambda a, b: a | b, [F.col(f"__p{i}").isNotNull() for i, _ in firsts]))
+            ok = (f"__k{g.slots[e.target].condition} AND NOT {_any(e.take_not)} AND {_all(e.need)} "
+                  f"AND NOT {_any(e.veto)}")
+            firsts.append(f"CASE WHEN {ok} THEN {self._prepend(e.target, tuple(path[1:]))} END AS __p{i}")
+        ps = [f"__p{i}" for i in range(len(firsts))]
+        starts = d.selectExpr(S.KEY, S.CHUNK, *firsts).where(" OR ".join(f"{p} IS NOT NULL" for p in ps))
+        packed = ", ".join(f"named_struct('path', {i}, 'r', {p})" for i, p in enumerate(ps))
+        out = starts.selectExpr(S.KEY, S.CHUNK, f"explode(array({packed})) AS p")
+        # Failed starts are dropped before the join, and again after it.
+        alive = "p.r IS NOT NULL" + ("" if self.keep_dead else f" AND p.r.st <> {DEAD}")
+        out = out.where(alive).selectExpr(S.KEY, S.CHUNK, "p.path AS path", "p.r AS r")
         if self.waits:
-            starts = S.join_chunks(starts, self._next_chunks(d.groupBy(S.KEY, S.CHUNK).agg(*sums)))
-            closed = [self._close(F.col(f"__p{i}"), self.waits).alias(f"__p{i}") for i, _ in firsts]
-            starts = starts.select(S.KEY, S.CHUNK, *closed)
-        packed = F.array(*[
-            F.struct(F.lit(i).alias("path"), F.col(f"__p{i}").alias("r")) for i, _ in firsts])
-        out = starts.select(S.KEY, S.CHUNK, F.explode(packed).alias("p")).where(F.col("p.r").isNotNull())
-        out = out.select(S.KEY, S.CHUNK, "p.path", "p.r.*")
-        return self._iterative(out)
-
-    def _close(self, v: Column, waits) -> Column:
+            chunks = d.groupBy(S.KEY, S.CHUNK).agg(*[F.expr(x) for x in sums])
+            out = S.join_chunks(out, self._next_chunks(chunks))
+            out = out.selectExpr(S.KEY, S.CHUNK, "path", "r", "try_element_at(__next, r.st) AS f")
+            joined = self._res("f.st", "concat(r.items, f.items)", "f.dead")
+            out = out.selectExpr(S.KEY, S.CHUNK, "path", f"CASE WHEN f IS NULL THEN r ELSE {joined} END AS r")
+        out = out.selectExpr(S.KEY, S.CHUNK, "path", "r.st AS st", "r.items AS items", "r.dead AS dead")
+        return self._iterative(out if self.keep_dead else out.where(f"st <> {DEAD}"))
+
+    def _close(self, v: str, waits) -> str:
         """Continue an open wait with what the next chunks hold for it."""
-        out = F.when(v["st"] <= 0, v)
+        if not waits:
+            return v
+        whens = []
         for m in (self.number[x] for x in waits):
-            for code, col in ((2 * m, f"__nn{m}"), (2 * m + 1, f"__nf{m}")):
-                f = F.col(col)
-                out = out.when(
-                    (v["st"] == code) & f.isNotNull(), self._res(f["st"], F.concat(v["items"], f["items"]), f["dead"]))
-        return out.otherwise(v)
+            for code, f in ((2 * m, f"__nn{m}"), (2 * m + 1, f"__nf{m}")):
+                joined = self._res(f"{f}.st", f"concat({v}.items, {f}.items)", f"{f}.dead")
+                whens.append(f"WHEN {v}.st = {code} AND {f} IS NOT NULL THEN {joined}")
+        return f"CASE WHEN {v} IS NULL OR {v}.st <= 0 THEN {v} {' '.join(whens)} ELSE {v} END"
 
     def _next_chunks(self, chunks: DataFrame) -> DataFrame:
         """Per chunk and wait: the outcome from the start of the next chunk on."""
-        down = S.over_chunks(backward=True)
         c = chunks
         for wait in self.waits:
-            n = self.number[wait]
+            n, relaxed = self.number[wait], wait[0][1].mode == RELAXED
             inner = [x for x in self.waits if len(x) < len(wait) and wait[-len(x):] == x]
-            if f"__bd{n}" in c.columns:
-                c = c.withColumn("__g", F.when(F.col(f"__bd{n}").isNotNull(), self._close(F.col(f"__bd{n}"), inner)))
-                c = c.withColumn(f"__fn{n}", F.last("__g", ignorenulls=True).over(down.rowsBetween(*S.UPTO)))
-                first = F.when(F.col(f"__bx{n}").isNotNull(), self._close(F.col(f"__bx{n}"), inner))
-                c = c.withColumn(f"__ff{n}", F.coalesce(first, F.col(f"__fn{n}")))
+            first = self._close(f"__bx{n}", inner)
+            if relaxed:
+                c = c.selectExpr("*", f"{self._close(f'__bd{n}', inner)} AS __g{n}", f"{first} AS __h{n}")
+                c = c.selectExpr("*", f"last(__g{n}, true) OVER ({self.DOWN} {self.UPTO}) AS __fn{n}")
+                c = c.selectExpr("*", f"coalesce(__h{n}, __fn{n}) AS __ff{n}")
             else:
-                c = c.withColumn(f"__ff{n}", self._close(F.col(f"__bx{n}"), inner)).withColumn(f"__fn{n}", F.col(f"__ff{n}"))
-            c = c.withColumn(f"__nn{n}", F.lag(f"__fn{n}").over(down)).withColumn(f"__nf{n}", F.lag(f"__ff{n}").over(down))
-        ns = [self.number[x] for x in self.waits]
-        return c.select(S.KEY, S.CHUNK, *[f"__nn{n}" for n in ns], *[f"__nf{n}" for n in ns])
+                c = c.selectExpr("*", f"{first} AS __ff{n}", f"{first} AS __fn{n}")
+            c = c.selectExpr(
+                "*", f"lag(__fn{n}) OVER ({self.DOWN}) AS __nn{n}", f"lag(__ff{n}) OVER ({self.DOWN}) AS __nf{n}")
+        pairs = [f"{2 * n}, __nn{n}, {2 * n + 1}, __nf{n}" for n in (self.number[x] for x in self.waits)]
+        return c.selectExpr(S.KEY, S.CHUNK, f"map({', '.join(pairs)}) AS __next")
 
     def _iterative(self, out: DataFrame) -> DataFrame:
         for i, path in enumerate(self.paths):
@@ -181,19 +178,17 @@ class Lowering:
                     continue
                 for cond in self.graph.slots[e.target].iterative:
                     want = [j for j in range(at) if names[j] == cond.step] + ([at] if cond.with_current else [])
-                    value = lambda j: F.col("items")[j]["e"][cond.field]
-                    total = _total(cond.agg, [value(j) for j in want])
-                    holds = F.coalesce(F.expr(f"t {cond.op} {cond.limit}"), F.lit(False))
-                    out = out.withColumn("t", total).where((F.col("path") != i) | (F.col("st") != DONE) | holds).drop("t")
+                    total = _total(cond.agg, [f"items[{j}].e.`{cond.field}`" for j in want])
+                    out = out.where(f"path <> {i} OR st <> {DONE} OR coalesce({total} {cond.op} {cond.limit}, false)")
         return out
 
 
-def _total(agg: str, values: list[Column]) -> Column:
+def _total(agg: str, values: list[str]) -> str:
     if not values:
-        return F.lit(None).cast("double")
+        return "cast(null AS double)"
     if agg == "count":
-        return F.lit(len(values))
+        return str(len(values))
     if agg == "sum":
-        return reduce(lambda a, b: a + b, values)
-    pick = F.least if agg == "min" else F.greatest
-    return pick(*values) if len(values) > 1 else values[0]
+        return "(" + " + ".join(values) + ")"
+    pick = "least" if agg == "min" else "greatest"
+    return f"{pick}({', '.join(values)})" if len(values) > 1 else values[0]

@@ -10,11 +10,10 @@ chunk picks its own matches knowing the bound it starts from.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewater.operators import sequence as S
 from tidewater.operators.pattern.spec import Skip
@@ -44,76 +43,127 @@ def apply_skip(matches: DataFrame, skip: Skip) -> DataFrame:
         rest = [c for c in matches.columns if c not in (S.KEY, S.CHUNK, "__so")]
         first = matches.groupBy(S.KEY, S.CHUNK, "__so").agg(F.min_by(F.struct(*rest), order).alias("m"))
         return first.select(S.KEY, S.CHUNK, "__so", "m.*")
-    past = skip.kind == "past_last"
-    # Matches of one start: those after the first jumping one are removed.
-    jumps = F.lit(True) if past else F.coalesce(F.col("__po") > F.col("__so"), F.lit(False))
-    w = Window.partitionBy(S.KEY, S.CHUNK, "__so").orderBy("__eo", "__no").rowsBetween(*S.BEFORE)
-    kept = matches.withColumn("__j", jumps.cast("int"))
-    kept = kept.withColumn("__gone", F.coalesce(F.sum("__j").over(w), F.lit(0)) > 0).where(~F.col("__gone"))
-    nodes = kept.groupBy(S.KEY, S.CHUNK, "__so").agg(F.max(F.coalesce("__po", "__so")).alias("__po"))
-    picked = pick_chain(nodes, inclusive=not past)
-    return kept.join(picked, [S.KEY, S.CHUNK, "__so"], "left_semi")
-
-
-def pick_chain(nodes: DataFrame, inclusive: bool) -> DataFrame:
-    """Starts reached by jumping along (``__so`` -> ``__po``) within each key."""
-    fields = nodes.schema["__so"].dataType.fieldNames()
-    key = S.KEY
-    flat = nodes.select(
-        F.to_json(key, {"ignoreNullFields": "false"}).alias("k"), F.col(S.CHUNK).alias("c"),
-        *[F.col("__so")[f].alias(f"s{i}") for i, f in enumerate(fields)],
-        *[F.col("__po")[f].alias(f"p{i}") for i, f in enumerate(fields)])
+    return _pick(matches, past=skip.kind == "past_last")
+
+
+def _pick(matches: DataFrame, past: bool) -> DataFrame:
+    """Matches reached by jumping from pivot to the next start, per key.
+
+    Three passes over sorted partitions. Each holds one running bound (the
+    first also the starts of the current chunk), never a whole key.
+    """
+    fields = matches.schema["__so"].dataType.fieldNames()
     n = len(fields)
-    s_cols, p_cols = [f"s{i}" for i in range(n)], [f"p{i}" for i in range(n)]
-    types = {f"{x}{i}": flat.schema[f"s{i}"].dataType.simpleString() for x in "spb" for i in range(n)}
-    ddl = lambda cols: ", ".join(f"{c} {types[c]}" for c in cols)
-    b_cols = [f"b{i}" for i in range(n)]
-    find = bisect_left if inclusive else bisect_right
-
-    def load(pdf):
-        pdf = pdf.sort_values(s_cols)
-        return list(pdf[s_cols].itertuples(index=False, name=None)), list(pdf[p_cols].itertuples(index=False, name=None))
-
-    def transfer(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts, pivots = load(pdf)
-        out = [None] * len(starts)
-        for i in range(len(starts) - 1, -1, -1):
-            j = max(find(starts, pivots[i]), i + 1)
-            out[i] = out[j] if j < len(starts) else pivots[i]
-        # One row per run of starts with the same way out, at its last start.
-        ends = [i for i in range(len(out)) if i + 1 == len(out) or out[i] != out[i + 1]]
-        data = [(pdf["k"].iat[0], int(pdf["c"].iat[0]), *starts[i], *out[i]) for i in ends]
-        return pd.DataFrame(data, columns=["k", "c", *s_cols, *p_cols])
-
-    def thread(pdf: pd.DataFrame) -> pd.DataFrame:
-        bound, data = None, []
-        for c, part in pdf.groupby("c", sort=True):
-            if bound is not None:
-                data.append((pdf["k"].iat[0], int(c), *bound))
-            starts, pivots = load(part)
-            i = 0 if bound is None else find(starts, bound)
-            if i < len(starts):
-                bound = pivots[i]
-        return pd.DataFrame(data, columns=["k", "c", *b_cols])
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        starts, pivots = load(pdf)
-        known = pdf["known"].iat[0]
-        i = find(starts, tuple(pdf[b].iat[0] for b in b_cols)) if known else 0
-        data = []
-        while i < len(starts):
-            data.append((pdf["k"].iat[0], int(pdf["c"].iat[0]), *starts[i]))
-            i = max(find(starts, pivots[i]), i + 1)
-        return pd.DataFrame(data, columns=["k", "c", *s_cols])
-
-    table = flat.groupBy("k", "c").applyInPandas(transfer, f"k string, c bigint, {ddl(s_cols + p_cols)}")
-    bounds = table.groupBy("k").applyInPandas(thread, f"k string, c bigint, {ddl(b_cols)}")
+    s_cols, p_cols, b_cols = ([f"__{x}{i}" for i in range(n)] for x in "spb")
+    pivot = F.coalesce("__po", "__so")
+    jumps = F.lit(True) if past else pivot > F.col("__so")
+    flat = matches.select(
+        "*", F.to_json(S.KEY, {"ignoreNullFields": "false"}).alias("__k"), jumps.alias("__j"),
+        *[F.col("__so")[f].alias(s) for f, s in zip(fields, s_cols)], *[pivot[f].alias(p) for f, p in zip(fields, p_cols)])
+    kinds = {c: flat.schema[c].dataType.simpleString() for c in s_cols}
+    ddl = lambda cols: ", ".join(f"{c} {kinds[s]}" for cs in cols for c, s in zip(cs, s_cols))
+    # A start lies beyond a bound: after it, or at it when skipping to an event.
+    beyond = (lambda start, bound: start > bound) if past else (lambda start, bound: start >= bound)
+
+    def rows(batch, names):
+        return zip(*[batch.column(c).to_pylist() for c in names])
+
+    def transfer(batches):
+        """Per chunk: last start of each run of starts that share a way out, and that way."""
+        here, starts, outs, latest = None, [], [], None
+
+        def settle():
+            if latest is not None:
+                start, piv = latest
+                j = find_desc(starts, piv)
+                starts.append(start)
+                outs.append(piv if j is None else outs[j])
+
+        def find_desc(seen, bound):
+            """Index of the least start beyond the bound; ``seen`` is descending."""
+            lo, hi = 0, len(seen)
+            while lo < hi:
+                mid = (lo + hi) // 2
+                if beyond(seen[mid], bound):
+                    lo = mid + 1
+                else:
+                    hi = mid
+            return lo - 1 if lo else None
+
+        def result():
+            keep = [i for i in range(len(outs)) if i == 0 or outs[i] != outs[i - 1]]
+            cols = [[here[0]] * len(keep), [here[1]] * len(keep)]
+            cols += [[starts[i][f] for i in keep] for f in range(n)] + [[outs[i][f] for i in keep] for f in range(n)]
+            return cols
+
+        for batch in batches:
+            done = []
+            for row in rows(batch, ["__k", S.CHUNK, "__j", *s_cols, *p_cols]):
+                at, jump, start, piv = row[:2], row[2], row[3:3 + n], row[3 + n:]
+                if at != here:
+                    settle()
+                    if here is not None:
+                        done.append(result())
+                    here, starts, outs, latest = at, [], [], None
+                if latest is not None and latest[0] == start:
+                    # Earlier rows of one start come later here and take over if they jump.
+                    latest = (start, piv if jump else latest[1])
+                else:
+                    settle()
+                    latest = (start, piv if jump else start)
+            for cols in done:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=table_names)
+        if here is not None:
+            settle()
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(result(), types)], names=table_names)
+
+    def thread(batches):
+        """Per chunk that is not a key's first: the bound it receives."""
+        key, chunk, bound, taken = None, None, None, False
+        for batch in batches:
+            out = []
+            for row in rows(batch, ["__k", S.CHUNK, *s_cols, *p_cols]):
+                k, c, start, way = row[0], row[1], row[2:2 + n], row[2 + n:]
+                if k != key:
+                    key, chunk, bound, taken = k, c, None, False
+                elif c != chunk:
+                    chunk, taken = c, False
+                    out.append((k, c, *bound))
+                if not taken and (bound is None or beyond(start, bound)):
+                    bound, taken = way, True
+            cols = list(zip(*out)) if out else [[]] * (2 + n)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=bound_names)
+
+    def walk(batches):
+        """Keep the matches that are reached."""
+        here, bound, taken, closed = None, None, None, False
+        for batch in batches:
+            keep = []
+            for row in rows(batch, ["__k", S.CHUNK, "__j", "__known", *s_cols, *p_cols, *b_cols]):
+                at, jump, start, piv = row[:2], row[2], row[4:4 + n], row[4 + n:4 + 2 * n]
+                if at != here:
+                    here, taken, closed = at, None, False
+                    bound = row[4 + 2 * n:] if row[3] else None
+                if start != taken and (bound is None or beyond(start, bound)):
+                    taken, closed, bound = start, False, start
+                ok = start == taken and not closed
+                keep.append(ok)
+                if ok and jump:
+                    bound, closed = piv, True
+            yield batch.filter(pa.array(keep, pa.bool_())).select(out_names)
+
+    arrow = {f.name: f.type for f in to_arrow_schema(flat.schema)}
+    types = [pa.string(), pa.int64(), *[arrow[c] for c in s_cols], *[arrow[c] for c in s_cols]]
+    table_names, bound_names = ["__k", S.CHUNK, *s_cols, *p_cols], ["__k", S.CHUNK, *b_cols]
+    out_names = matches.columns
+    lean = flat.select("__k", S.CHUNK, "__j", "__eo", "__no", *s_cols, *p_cols)
+    down = [F.col(c).desc() for c in (*s_cols, "__eo", "__no")]
+    table = lean.repartition("__k", S.CHUNK).sortWithinPartitions("__k", S.CHUNK, *down) \
+        .mapInArrow(transfer, f"__k string, {S.CHUNK} bigint, {ddl([s_cols, p_cols])}")
+    bounds = table.repartition("__k").sortWithinPartitions("__k", S.CHUNK, *s_cols) \
+        .mapInArrow(thread, f"__k string, {S.CHUNK} bigint, {ddl([b_cols])}")
     # Chunks that receive no bound get a filler, so no column turns nullable.
-    bounded = flat.join(bounds, ["k", "c"], "left").select(
-        *flat.columns, F.col("b0").isNotNull().alias("known"),
-        *[F.coalesce(f"b{i}", f"s{i}").alias(f"b{i}") for i in range(n)])
-    picks = bounded.groupBy("k", "c").applyInPandas(walk, f"k string, c bigint, {ddl(s_cols)}")
-    key_type, so_type = nodes.schema[key].dataType, nodes.schema["__so"].dataType
-    return picks.select(
-        F.from_json("k", key_type).alias(key), F.col("c").alias(S.CHUNK),
-        F.struct(*[F.col(f"s{i}").alias(f) for i, f in enumerate(fields)]).cast(so_type).alias("__so"))
+    known = flat.join(bounds, ["__k", S.CHUNK], "left").select(
+        *flat.columns, F.col("__b0").isNotNull().alias("__known"), *[F.coalesce(b, s).alias(b) for b, s in zip(b_cols, s_cols)])
+    ordered = known.repartition("__k", S.CHUNK).sortWithinPartitions("__k", S.CHUNK, *s_cols, "__eo", "__no")
+    return ordered.mapInArrow(walk, matches.schema)

@@ -37,6 +37,8 @@ def local_session(cores: str = "8", app: str = "tidewater", memory: str = "12g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
+        # No call-site capture per Column call; it slows building large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
