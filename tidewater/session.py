@@ -6,9 +6,12 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidewater
+
 # Settings that change results or the shape of plans. Sizes (shuffle
 # partitions, memory) stay with whoever starts the session.
 RUNTIME_CONF = {
@@ -22,6 +25,8 @@ RUNTIME_CONF = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings the operators rely on."""
+    # Functions travel with their code, so executors need no copy of the package.
+    cloudpickle.register_pickle_by_value(tidewater)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
