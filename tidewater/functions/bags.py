@@ -6,17 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _numbered(bag: Column) -> Column:
-    """Elements as (value, occurrence), so that set operators keep multiplicity."""
-    ordered = F.array_sort(bag)
-    return F.transform(
-        ordered,
-        lambda x, i: F.struct(x.alias("x"), (i - F.array_position(ordered, x)).alias("n")),
-    )
+def _times(bag: Column, x: Column) -> Column:
+    """How often ``x`` is in the bag; NULL counts as a value."""
+    nulls = F.size(bag) - F.size(F.array_compact(bag))
+    return F.when(x.isNull(), nulls).otherwise(F.size(bag) - F.size(F.array_remove(bag, x)))
 
 
-def _plain(numbered: Column) -> Column:
-    return F.transform(numbered, lambda s: s.x)
+def _repeated(values: Column, times) -> Column:
+    return F.flatten(F.transform(values, lambda x: F.array_repeat(x, times(x))))
 
 
 def union_all(a: Column, b: Column) -> Column:
@@ -28,7 +25,7 @@ def union_distinct(a: Column, b: Column) -> Column:
 
 
 def intersect_all(a: Column, b: Column) -> Column:
-    return _plain(F.array_intersect(_numbered(a), _numbered(b)))
+    return _repeated(F.array_intersect(a, b), lambda x: F.least(_times(a, x), _times(b, x)))
 
 
 def intersect_distinct(a: Column, b: Column) -> Column:
@@ -37,7 +34,7 @@ def intersect_distinct(a: Column, b: Column) -> Column:
 
 def except_all(a: Column, b: Column) -> Column:
     """Each element of ``b`` removes one equal element of ``a``."""
-    return _plain(F.array_except(_numbered(a), _numbered(b)))
+    return _repeated(F.array_distinct(a), lambda x: F.greatest(_times(a, x) - _times(b, x), F.lit(0)))
 
 
 def except_distinct(a: Column, b: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def text_to_int(s: Column) -> Column:
@@ -18,7 +19,7 @@ def int_to_text(n: Column) -> Column:
     return n.cast("string")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def event_fields(props: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """``k:v,...`` text from JSON, set up once per task (open) and run per batch (eval)."""
     import json
@@ -32,7 +33,7 @@ def event_fields(props: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(one)
 
 
-@F.udtf(returnType="pos: int, token: string")
+@F.udtf(returnType=T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("token", T.StringType())]))
 class Tokens:
     """One row per word of a text, counting from 1."""
 

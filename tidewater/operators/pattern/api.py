@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence as Seq
 from datetime import timedelta
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.operators import sequence as S
 from tidewater.operators.pattern import chain, skip as skips
 from tidewater.operators.pattern.graph import END, START, Graph, build
+from tidewater.operators.pattern.groups import match_groups
 from tidewater.operators.pattern.local import Event, Machine, run_group
 from tidewater.operators.pattern.spec import ANY, Pattern, PatternError
 
@@ -164,43 +163,25 @@ def _by_chunks(df, seq, graph, event, within, timeouts) -> DataFrame:
     packed = sum((F.when(F.col(f"__k{i}"), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i in range(len(graph.conditions))), F.lit(0).cast("bigint"))
     tie = [t for t in seq.tie if t != seq.ts]
     now = df.agg(F.max(seq.ticks(df))).scalar() if timeouts else F.lit(None).cast("bigint")
+    reads = any(x.iterative for x in graph.slots)
     d = d.select(
         S.KEY, S.CHUNK, "__t", *[F.col(t).alias(f"__o{i}") for i, t in enumerate(tie)], packed.alias("__bits"), "__own",
-        event.alias("__ev"), now.alias("__now"))
-    item = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("e", d.schema["__ev"].dataType)])
-    out = T.StructType([
-        d.schema[S.KEY], T.StructField(S.CHUNK, T.LongType()), T.StructField("kind", T.StringType()),
-        T.StructField("__no", T.IntegerType()), T.StructField("items", T.ArrayType(item)),
-    ])
+        event.alias("__ev"), now.alias("__now"), *([event.alias("__fields")] if reads else []))
     machine = Machine(graph, us)
-    order = [("__t", "ascending")] + [(f"__o{i}", "ascending") for i in range(len(tie))]
-    reads_fields = any(s.iterative for s in graph.slots)
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(order)
-        ev = table.column("__ev").combine_chunks()
-        t, b = table.column("__t").to_pylist(), table.column("__bits").to_pylist()
-        fields = ev.to_pylist() if reads_fields else [None] * len(t)
-        events = [Event(*x) for x in zip(t, b, range(len(t)), fields)]
-        horizon = table.column("__now")[0].as_py() if len(t) else None
-        matches, late = run_group(machine, events, table.column("__own").to_pylist(), horizon)
-        rows = [("match", m) for m in matches]
-        if timeouts:
-            rows += [("timeout", p.items) for p in late]
-        offsets, slots, refs = [0], [], []
-        for _, items in rows:
-            slots.extend(s for s, _ in items)
-            refs.extend(e.ref for _, e in items)
-            offsets.append(len(slots))
-        picked = pa.StructArray.from_arrays(
-            [pa.array(slots, pa.int32()), ev.take(pa.array(refs, pa.int64()))], names=["slot", "e"])
-        head = pa.array([0] * len(rows), pa.int64())
-        return pa.table({
-            S.KEY: table.column(S.KEY).combine_chunks().take(head), S.CHUNK: table.column(S.CHUNK).combine_chunks().take(head),
-            "kind": pa.array([k for k, _ in rows], pa.string()), "__no": pa.array(range(len(rows)), pa.int32()),
-            "items": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), picked),
-        })
-
-    found = d.groupBy(S.KEY, S.CHUNK).applyInArrow(run, out)
+    opens = [graph.slots[e.target].condition for e in graph.edges[START]]
+
+    def handle(cols: dict[str, list]):
+        bits_, own = cols["__bits"], cols["__own"]
+        # Most groups hold no start at all.
+        if not any(o and any(b >> i & 1 for i in opens) for b, o in zip(bits_, own)):
+            return []
+        fields = cols["__fields"] if reads else [None] * len(bits_)
+        events = [Event(*x) for x in zip(cols["__t"], bits_, range(len(bits_)), fields)]
+        matches, late = run_group(machine, events, own, cols["__now"][0])
+        found = [("match", m) for m in matches] + ([("timeout", p.items) for p in late] if timeouts else [])
+        return [(k, [x for x, _ in m], [e.ref for _, e in m]) for k, m in found]
+
+    found = match_groups(
+        d, ["__t", *[f"__o{i}" for i in range(len(tie))]], ["__t", "__bits", "__own", "__now", *(["__fields"] if reads else [])], handle)
     start = F.unix_micros(F.element_at("items", 1)["e"][seq.ts].cast("timestamp"))
     return found.withColumn("timeout_ts", F.when(F.col("kind") == "timeout", F.timestamp_micros(start + F.lit(us))))

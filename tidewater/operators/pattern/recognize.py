@@ -15,15 +15,14 @@ from dataclasses import dataclass
 from datetime import timedelta
 from itertools import permutations, product
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.operators import sequence as S
 from tidewater.operators.pattern import chain, skip as skips
 from tidewater.operators.pattern.api import _by_chain
 from tidewater.operators.pattern.graph import START, Edge, Graph, Slot
+from tidewater.operators.pattern.groups import match_groups
 from tidewater.operators.pattern.spec import STRICT, PatternError, Skip
 
 MAX_VARIANTS = 64
@@ -296,37 +295,25 @@ def _by_regex(d, seq_, pattern, names, define, event, within):
         return f"(?:{inner[0]}){{{node.low},{upper}}}" + ("" if node.greedy else "?")
 
     source = text(pattern, False)
-    item = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("e", h.schema["__ev"].dataType)])
-    out = T.StructType([h.schema[S.KEY], T.StructField(S.CHUNK, T.LongType()), T.StructField("__no", T.IntegerType()),
-                        T.StructField("items", T.ArrayType(item))])
-    order = [("__t", "ascending")] + [(f"__o{i}", "ascending") for i in range(len(tie))]
     n_slots = len(slots)
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(order)
-        rx = regex.compile(source)
-        t, own = table.column("__t").to_pylist(), table.column("__own").to_pylist()
-        s = "".join(code(m) for m in table.column("__mask").to_pylist())
-        offsets, ids, refs = [0], [], []
-        stop = 0
+    compiled: list = []
+
+    def handle(cols: dict[str, list]):
+        if not compiled:
+            compiled.append(regex.compile(source))
+        rx, t, own = compiled[0], cols["__t"], cols["__own"]
+        s = "".join(code(m) for m in cols["__mask"])
+        found, stop = [], 0
         for p in range(len(s)):
             if not own[p]:
                 continue
             while stop < len(s) and t[stop] - t[p] < us:
                 stop += 1
             m = rx.match(s, p, stop)
-            if m is None or m.end() == p:
-                continue
-            hits = sorted((a, g) for g in range(n_slots) for a, _ in m.spans(f"g{g}"))
-            ids.extend(g for _, g in hits)
-            refs.extend(a for a, _ in hits)
-            offsets.append(len(ids))
-        n = len(offsets) - 1
-        ev = table.column("__ev").combine_chunks()
-        picked = pa.StructArray.from_arrays([pa.array(ids, pa.int32()), ev.take(pa.array(refs, pa.int64()))], names=["slot", "e"])
-        head = pa.array([0] * n, pa.int64())
-        return pa.table({
-            S.KEY: table.column(S.KEY).combine_chunks().take(head), S.CHUNK: table.column(S.CHUNK).combine_chunks().take(head),
-            "__no": pa.array([0] * n, pa.int32()), "items": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), picked)})
-
-    return h.groupBy(S.KEY, S.CHUNK).applyInArrow(run, out), slots
+            if m is not None and m.end() > p:
+                hits = sorted((a, g) for g in range(n_slots) for a, _ in m.spans(f"g{g}"))
+                found.append(("match", [g for _, g in hits], [a for a, _ in hits]))
+        return found
+
+    order = ["__t", *[f"__o{i}" for i in range(len(tie))]]
+    return match_groups(h, order, ["__t", "__mask", "__own"], handle), slots
