@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,8 +119,16 @@ def json_depth(s: Column) -> Column:
     return F.when(is_json_value(s), depth)
 
 
+@F.pandas_udf(T.StringType())
+def _indented(texts: pd.Series) -> pd.Series:
+    import json
+
+    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), indent=2, ensure_ascii=False))
+
+
 def json_pretty(s: Column) -> Column:
-    return F.to_json(_variant(s), {"pretty": "true"})
+    """Indented text; the built-in writer indents structs only."""
+    return _indented(F.to_json(_variant(s)))
 
 
 def from_lenient(s: Column, schema: T.StructType) -> Column:
