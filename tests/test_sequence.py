@@ -102,3 +102,13 @@ def test_rows_are_shuffled_once(ev, spark):
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(__key" in line]
     # Rows; partial ends per chunk; ends per key; carried values per chunk.
     assert len(wide) == 4
+
+
+def test_measured_width_bounds_the_hottest_chunk(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_BYTES", 0)
+    d = load_events(spark, SF).withColumn("u", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+    wide = S.sequence(d, ("u",), "ts", ("event_id",))
+    assert wide.width > timedelta(days=28)
+    width = S.fit_width(d, wide, target_rows=20)
+    top = S.chunked(d, S.Sequence(("u",), "ts", ("event_id",), width)).groupBy(S.KEY, S.CHUNK).count().agg(F.max("count")).first()[0]
+    assert top <= 40

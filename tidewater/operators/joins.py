@@ -23,7 +23,7 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def asof_join(
     left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, take: list[str],
-    width: timedelta | float = timedelta(days=7), allow_equal: bool = True, keep_unmatched: bool = True,
+    width: timedelta | float | None = None, allow_equal: bool = True, keep_unmatched: bool = True,
 ) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 
@@ -45,7 +45,7 @@ def asof_join(
         F.lit(None).cast(ltype).alias("__l"), packed.alias("__r"),
     )
     both = a.unionByName(b)
-    seq = S.Sequence(tuple(by), "__t", ("__side", "__r"), width)
+    seq = S.sequence(both, by, "__t", ("__side", "__r"), width)
     out = S.carry(both, seq, {"__m": F.col("__r")}, inclusive=True).where(F.col("__l").isNotNull())
     if not keep_unmatched:
         out = out.where(F.col("__m").isNotNull())

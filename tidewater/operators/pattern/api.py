@@ -15,9 +15,6 @@ from tidewater.operators.pattern.groups import match_groups
 from tidewater.operators.pattern.local import Event, Machine, run_group
 from tidewater.operators.pattern.spec import ANY, Pattern, PatternError
 
-DEFAULT_WIDTH = timedelta(days=7)
-
-
 def match(
     df: DataFrame, pattern: Pattern, by: Seq[str], ts: str, tie: Seq[str] = (), payload: Seq[str] | None = None,
     width: timedelta | None = None, timeouts: bool = False, engine: str = "auto",
@@ -45,7 +42,6 @@ def find(df, pattern, graph, by, ts, tie, payload, width, timeouts, engine="auto
     """Matches as ``items`` (slot, event), after the skip strategy."""
     cols = list(dict.fromkeys([ts, *tie, *(payload if payload is not None else [c for c in df.columns if c not in by])]))
     event = F.struct(*[F.col(c) for c in cols])
-    seq = S.Sequence(tuple(by), ts, tuple(tie), width or DEFAULT_WIDTH)
     within = S.micros(pattern.within_) if pattern.within_ else None
     if timeouts and within is None:
         raise PatternError("timeouts need within()")
@@ -60,12 +56,13 @@ def find(df, pattern, graph, by, ts, tie, payload, width, timeouts, engine="auto
     if engine == "chain":
         if paths is None:
             raise PatternError("the pattern has loops or free skips; it has no window form")
+        seq = S.sequence(df, by, ts, tie, width)
         found = _by_chain(df, seq, graph, paths, event, ts, within, timeouts)
     else:
         if within is None:
             raise PatternError("a pattern with loops or free skips needs within() to bound its groups")
-        if width is None:
-            seq = S.Sequence(tuple(by), ts, tuple(tie), max(pattern.within_ * 4, timedelta(hours=1)))
+        # A group reaches ``within`` past its chunk, so narrower chunks gain little.
+        seq = S.Sequence(tuple(by), ts, tuple(tie), width or max(pattern.within_ * 4, timedelta(hours=1)))
         run = _by_pairs if engine == "pairs" else _by_chunks
         found = run(df, seq, graph, event, pattern.within_, timeouts)
     tie_fields = [c for c in tie if c != ts]

@@ -79,6 +79,11 @@ class Lowering:
     def _res(self, st, items: str | None = None, dead: str = "cast(null AS timestamp)") -> str:
         return f"named_struct('st', {st}, 'items', {items or self.empty}, 'dead', {dead})"
 
+    def _dead(self) -> str:
+        # The time of death matters to timeouts only; without it both uses of
+        # the rows need the same columns and share one exchange.
+        return self._res(DEAD, dead="__ts") if self.keep_dead else self._res(DEAD)
+
     def _prepend(self, slot: int, rest) -> str:
         one = f"array({self._item(slot)})"
         if not rest:
@@ -88,7 +93,7 @@ class Lowering:
 
     def _outcome(self, e: Edge, rest, killed: str) -> str:
         """Outcome if this row decides the wait."""
-        dead = self._res(DEAD, dead="__ts")
+        dead = self._dead()
         if e.target == END:
             return f"CASE WHEN {killed} THEN {dead} ELSE {self._res(DONE)} END"
         ok = f"__k{self.graph.slots[e.target].condition} AND NOT {_any(e.take_not)}"
@@ -105,7 +110,7 @@ class Lowering:
             n, (src, e), rest = self.number[wait], wait[0], wait[1:]
             fresh_kill = _any(g.fresh_kill.get(src, ()))
             on_fresh = self._outcome(e, rest, fresh_kill)
-            barred = f"WHEN NOT ({_all(e.need)} AND NOT {_any(e.veto)}) THEN {self._res(DEAD, dead='__ts')}"
+            barred = f"WHEN NOT ({_all(e.need)} AND NOT {_any(e.veto)}) THEN {self._dead()}"
             open_ = f"CASE WHEN __end THEN {self._res(2 * n + 1)} ELSE {self._res(2 * n)} END"
             parts = [f"lag(__x{n}) OVER ({self.W})"]
             sums.append(f"min_by(__x{n}, {S.ORD}) AS __bx{n}")

@@ -153,7 +153,7 @@ def match_recognize(
     names = _variables(pattern)
     if within is None and width is None and variants(pattern) is None:
         raise PatternError("a pattern with * or + needs within, which bounds its groups")
-    seq_ = S.Sequence(tuple(partition_by), order_by, tuple(tie), width or (within * 4 if within else timedelta(days=7)))
+    seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if within else None))
     d = _navigated(df, seq_, navigate or {}, pattern)
     cols = list(dict.fromkeys([order_by, *tie, *(payload or [c for c in d.columns if c not in (*partition_by, "__first", "__last")])]))
     event = F.struct(*[F.col(c) for c in cols])

@@ -25,7 +25,7 @@ INLINE_CONTROLS = 64
 
 
 def with_epoch(
-    df: DataFrame, rule: Column, ts: str, tie: Seq[str], first_rule: str | None = None, width: timedelta = timedelta(days=1),
+    df: DataFrame, rule: Column, ts: str, tie: Seq[str], first_rule: str | None = None, width: timedelta | None = None,
 ) -> DataFrame:
     """Data rows with ``rule_id`` in force and its ``epoch``.
 
@@ -42,7 +42,7 @@ def with_epoch(
         names = F.array(*[F.lit(x) for x in [first_rule, *[r["__rule"] for r in few]]]).cast("array<string>")
         out = d.withColumn("epoch", epoch.cast("bigint")).withColumn("rule_id", F.element_at(names, (epoch + 1).cast("int")))
     else:
-        seq = S.Sequence((), ts, tuple(tie), width)
+        seq = S.sequence(d, (), ts, tie, width)
         hit = F.col("__rule").isNotNull()
         out = S.running(d, seq, {"epoch": ("count", F.when(hit, 1))})
         out = S.carry(out, seq, {"rule_id": F.col("__rule")}, inclusive=True)
@@ -69,7 +69,7 @@ def match_rules(
     A rule is a pattern or its JSON text, parsed once here.
     """
     payload = list(payload) if payload is not None else [c for c in df.columns if c not in by]
-    data = with_epoch(df, rule, ts, tie, first_rule)
+    data = with_epoch(df, rule, ts, tie, first_rule, width)
     keys = [*by, "epoch"]
     parts = []
     for rule_id, p in rules.items():

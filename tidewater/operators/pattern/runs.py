@@ -17,11 +17,11 @@ from tidewater.operators import sequence as S
 
 def runs(
     df: DataFrame, by: Seq[str], ts: str, tie: Seq[str], label: Column, aggs: Seq[Column] = (),
-    width: timedelta = timedelta(days=7),
+    width: timedelta | None = None,
 ) -> DataFrame:
     """One row per maximal run of equal ``label``: ``run_id`` (1, 2, ... per
     key), ``label``, ``n``, ``first_ts``, ``last_ts`` and ``aggs``."""
-    seq = S.Sequence(tuple(by), ts, tuple(tie), width)
+    seq = S.sequence(df, by, ts, tie, width)
     d = S.islands(df.withColumn("label", label), seq, F.col("label"))
     # The chunk stays in the first grouping, which needs no shuffle of its own.
     return d.groupBy(*by, "run_id", "label").agg(

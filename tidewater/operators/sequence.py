@@ -11,19 +11,18 @@ a key's rows are cut along the order column into chunks, so a task holds one
   reach.
 
 The chunk width is the knob: rows per (key, chunk) = event rate x width, chunks
-per key = time span / width. Frames that grow backwards are used throughout
+per key = time span / width. ``sequence`` picks one that fits the hottest key. Frames that grow backwards are used throughout
 (Spark evaluates frames that end at UNBOUNDED FOLLOWING in quadratic time), so
 forward-looking scans sort descending.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 KEY, CHUNK, ORD = "__key", "__chunk", "__ord"
 
@@ -50,6 +49,42 @@ class Sequence:
         return micros(width) if isinstance(width, timedelta) else float(width)
 
 
+# Below this estimated input size no (key, chunk) group can be too large for a
+# task, whatever the width, and the data is not measured.
+SMALL_BYTES = 128 << 20
+TARGET_ROWS = 1_000_000
+
+
+def sequence(df: DataFrame, by, ts: str, tie=(), width=None, desc: bool = False, small=timedelta(days=7)) -> Sequence:
+    """A sequence whose chunks fit a task: with the given width, or with one
+    measured on the data when the input is not provably small."""
+    probe = Sequence(tuple(by), ts, tuple(tie), small if width is None else width, desc)
+    if width is not None or estimated_bytes(df) <= SMALL_BYTES:
+        return probe
+    return replace(probe, width=fit_width(df, probe))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fit_width(df: DataFrame, seq: Sequence, target_rows: int = TARGET_ROWS, cells: int = 1024):
+    """Chunk width at which the hottest key has about ``target_rows`` per chunk
+    where the rows lie most densely. Reads the key and order columns only."""
+    t = seq.ticks(df)
+    keyed = df.select(*seq.by, t.alias("__t"))
+    r = keyed.groupBy(*seq.by).agg(F.count(F.lit(1)).alias("n"), F.min("__t").alias("lo"), F.max("__t").alias("hi")).agg(
+        F.max("n").alias("hot"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    span = float((r.hi or 0) - (r.lo or 0)) if r.n else 0.0
+    if span <= 0:
+        return seq.width
+    cell = F.floor((F.col("__t") - F.lit(r.lo)) / F.lit(span) * F.lit(cells))
+    dense = keyed.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    peak = max(1.0, dense * cells / r.n)
+    width = span * min(1.0, target_rows / (r.hot * peak))
+    return timedelta(microseconds=max(1000, int(width))) if isinstance(seq.width, timedelta) else width
+
+
 def micros(t: timedelta) -> int:
     return (t.days * 86400 + t.seconds) * 1000000 + t.microseconds
 
@@ -218,7 +253,24 @@ def time_halo(df: DataFrame, seq: Sequence, before=None, after=None) -> DataFram
 
 
 def islands(df: DataFrame, seq: Sequence, label: Column, name: str = "run_id") -> DataFrame:
-    """Number the maximal runs of equal ``label`` per key (gaps and islands)."""
-    d = shift(df, seq, {"__prev": label, "__has_prev": F.lit(True)}, 1)
-    starts = F.when(F.col("__has_prev").isNull() | ~F.col("__prev").eqNullSafe(label), 1).otherwise(0)
-    return running(d, seq, {name: ("sum", starts)}).drop("__prev", "__has_prev")
+    """Number the maximal runs of equal ``label`` per key (gaps and islands).
+
+    Runs are numbered inside each chunk; a chunk whose first label goes on from
+    the chunk before does not count its first run again.
+    """
+    d = chunked(df, seq).withColumn("__label", label)
+    w = local(seq)
+    same = F.lag("__label").over(w).eqNullSafe(F.col("__label")) & F.lag(F.lit(1)).over(w).isNotNull()
+    d = d.withColumn("__new", F.when(same, 0).otherwise(1))
+    d = d.withColumn("__local", F.sum("__new").over(w.rowsBetween(*UPTO)))
+    first, last = (F.max_by, F.min_by) if seq.desc else (F.min_by, F.max_by)
+    ends = d.groupBy(KEY, CHUNK).agg(
+        F.sum("__new").alias("__n"), first(F.struct("__label"), ORD).alias("__first"), last(F.struct("__label"), ORD).alias("__last"))
+    wc = over_chunks()
+    goes_on = F.when(F.lag("__last").over(wc) == F.col("__first"), 1).otherwise(0)
+    ends = ends.withColumn("__joined", goes_on)
+    base = ends.select(
+        KEY, CHUNK,
+        (F.coalesce(F.sum("__n").over(wc.rowsBetween(*BEFORE)), F.lit(0)) - F.sum("__joined").over(wc.rowsBetween(*UPTO))).alias("__base"))
+    d = join_chunks(d, base)
+    return d.withColumn(name, F.col("__local") + F.col("__base")).drop("__label", "__new", "__local", "__base")

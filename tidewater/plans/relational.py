@@ -484,8 +484,8 @@ def hash_range_assign(spark, d):
 
 # Windows
 
-def _by_customer(desc=False):
-    return S.Sequence(("o_custkey",), "o_totalprice", ("o_orderkey",), 50000.0, desc=desc)
+def _by_user(ev):
+    return S.sequence(ev, ("user_id",), "ts", ("event_id",))
 
 
 @query("win_rank", """
@@ -494,7 +494,7 @@ def _by_customer(desc=False):
     FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey), w2 AS (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC)""")
 def win_rank(spark, d):
     o = load(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    seq = S.Sequence(("o_orderstatus",), "o_totalprice", ("o_orderkey",), 5000.0, desc=True)
+    seq = S.sequence(o, ("o_orderstatus",), "o_totalprice", ("o_orderkey",), desc=True, small=5000.0)
     return R.ranked(o, seq, 4).select(
         "o_orderkey", "row_number", "rank", "dense_rank", F.round("percent_rank", 9).alias("percent_rank"),
         F.round("cume_dist", 9).alias("cume_dist"), c("ntile").cast("bigint").alias("ntile"))
@@ -506,7 +506,7 @@ def win_rank(spark, d):
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win_offset(spark, d):
     ev = load(spark, d, "events").select("event_id", "user_id", "ts")
-    seq = S.Sequence(("user_id",), "ts", ("event_id",))
+    seq = _by_user(ev)
     e = c("event_id")
     out = S.shift(ev, seq, {"two_before": e}, 2)
     out = S.shift(out, seq, {"after": e}, -1)
@@ -524,7 +524,7 @@ def win_offset(spark, d):
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win_frames(spark, d):
     ev = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    seq = S.Sequence(("user_id",), "ts", ("event_id",))
+    seq = _by_user(ev)
     w = S.halo_window()
     rows = S.row_halo(S.running(ev, seq, {"top_so_far": ("max", c("value"))}), seq, 3, 1).select(
         "*", F.round(F.sum("value").over(w.rowsBetween(-3, 1)), 4).alias("near_sum"),
@@ -543,7 +543,7 @@ def win_frames(spark, d):
 def win_disallow_partial(spark, d):
     ev = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
     w = S.halo_window().rowsBetween(-3, 0)
-    out = S.row_halo(ev, S.Sequence(("user_id",), "ts", ("event_id",)), 3)
+    out = S.row_halo(ev, _by_user(ev), 3)
     return out.withColumn("full_avg", R.full_frame_only(F.round(F.avg("value").over(w), 6), w, 4)) \
         .where("__own").select("event_id", "full_avg")
 
@@ -554,7 +554,7 @@ def win_disallow_partial(spark, d):
 def win_sliding_minmax(spark, d):
     ev = load(spark, d, "events").select("event_id", "event_type", "ts", "value")
     w = S.halo_window().rowsBetween(-9, 0)
-    out = S.row_halo(ev, S.Sequence(("event_type",), "ts", ("event_id",), timedelta(days=1)), 9)
+    out = S.row_halo(ev, S.sequence(ev, ("event_type",), "ts", ("event_id",), small=timedelta(days=1)), 9)
     return out.select("event_id", "__own", F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi"),
                       F.first("value").over(w).alias("oldest"), F.last("value").over(w).alias("newest")).where("__own").drop("__own")
 

@@ -150,7 +150,7 @@ def cep_run_then_next(spark, d):
     m = match(r, p, ["user_id"], "first_ts", ["run_id"], ["n", "first_ts"])
     # Positions of the runs' first events: events before them in earlier runs.
     from tidewater.operators import sequence as S
-    upto = S.running(r, S.Sequence(("user_id",), "first_ts", ("run_id",)), {"upto": ("sum", c("n"))})
+    upto = S.running(r, S.sequence(r, ("user_id",), "first_ts", ("run_id",)), {"upto": ("sum", c("n"))})
     at = S.unchunked(upto).select("user_id", c("first_ts").alias("start_ts"), (c("upto") - c("n") + 1).alias("first_pos"))
     return m.join(at, ["user_id", "start_ts"]).select(
         "user_id", c("v")[0]["n"].alias("views"), c("b")[0]["n"].alias("buys"), "first_pos")

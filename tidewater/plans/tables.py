@@ -79,7 +79,7 @@ def win_process(spark, d):
     return out.withColumn("window_start", c("window_start").cast("timestamp_ntz"))
 
 
-@query("udaf_salted", "SELECT event_type, count(*) AS n, round(sum(value * value), 3) AS squares FROM events GROUP BY event_type")
+@query("udaf_salted", "SELECT event_type, count(*) AS n, round(sum(value * value), 4) AS squares FROM events GROUP BY event_type")
 def udaf_salted(spark, d):
     @F.pandas_udf(T.DoubleType())
     def squares(v: pd.Series) -> float:
@@ -87,7 +87,7 @@ def udaf_salted(spark, d):
 
     ev = load(spark, d, "events").select("event_id", "event_type", "value")
     return custom.salted_agg(
-        ev, ["event_type"], ["event_id"], [squares("value").alias("s")], [F.round(F.sum("s"), 3).alias("squares")]).join(
+        ev, ["event_type"], ["event_id"], [squares("value").alias("s")], [F.round(F.sum("s"), 4).alias("squares")]).join(
         ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "event_type").select("event_type", "n", "squares")
 
 
