@@ -53,18 +53,22 @@ def find(df, pattern, graph, by, ts, tie, payload, width, timeouts, engine="auto
             engine = "pairs"
         else:
             engine = "chunks"
+    now = df.agg(F.max(F.unix_micros(F.col(ts).cast("timestamp")))).scalar() if timeouts else F.lit(None).cast("bigint")
+    df = chain.relevant(df, graph)
     if engine == "chain":
         if paths is None:
             raise PatternError("the pattern has loops or free skips; it has no window form")
         seq = S.sequence(df, by, ts, tie, width)
-        found = _by_chain(df, seq, graph, paths, event, ts, within, timeouts)
+        found = _by_chain(df, seq, graph, paths, event, ts, within, now if timeouts else None)
     else:
         if within is None:
             raise PatternError("a pattern with loops or free skips needs within() to bound its groups")
         # A group reaches ``within`` past its chunk, so narrower chunks gain little.
         seq = S.Sequence(tuple(by), ts, tuple(tie), width or max(pattern.within_ * 4, timedelta(hours=1)))
-        run = _by_pairs if engine == "pairs" else _by_chunks
-        found = run(df, seq, graph, event, pattern.within_, timeouts)
+        if engine == "pairs":
+            found = _by_pairs(df, seq, graph, event, pattern.within_)
+        else:
+            found = _by_chunks(df, seq, graph, event, pattern.within_, timeouts, now)
     tie_fields = [c for c in tie if c != ts]
     ord_of = lambda e: F.struct(
         F.unix_micros(e[ts].cast("timestamp")).alias("t"), *[e[c].alias(f"o{i}") for i, c in enumerate(tie_fields)])
@@ -98,7 +102,8 @@ def shape(found: DataFrame, graph: Graph, pattern: Pattern, timeouts: bool = Fal
 
 # Ways to run
 
-def _by_chain(df, seq, graph, paths, event, ts, within, timeouts) -> DataFrame:
+def _by_chain(df, seq, graph, paths, event, ts, within, now=None) -> DataFrame:
+    timeouts = now is not None
     out = chain.Lowering(df, seq, graph, paths, event, keep_dead=timeouts).run()
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     out = out.withColumnRenamed("path", "__no")
@@ -113,7 +118,6 @@ def _by_chain(df, seq, graph, paths, event, ts, within, timeouts) -> DataFrame:
         return out.where(in_time).select(
             S.KEY, S.CHUNK, "items", F.lit("match").alias("kind"), none.alias("timeout_ts"), "__no")
     deadline = start + F.lit(within)
-    now = df.agg(F.max(us(F.col(ts)))).scalar()
     dead_early = (F.col("st") == chain.DEAD) & (us(F.col("dead")) < deadline)
     out = out.withColumn("kind", F.when(in_time, "match").when(~dead_early & (deadline <= now), "timeout"))
     early = F.filter("items", lambda x: us(x["e"][ts]) < deadline)
@@ -132,12 +136,12 @@ def _is_pair(graph: Graph) -> bool:
     return e.mode == ANY and not (e.kill or e.take_not or e.ignore_not or e.need or e.veto or graph.fresh_kill.get(0))
 
 
-def _by_pairs(df, seq, graph, event, within, timeouts) -> DataFrame:
+def _by_pairs(df, seq, graph, event, within) -> DataFrame:
     """Equi join on (key, bucket of the bound) and the exact time condition."""
     step = S.micros(within)
-    d = S.chunked(df, seq).withColumns(chain.bits(graph)).withColumn("__t", seq.ticks(df))
+    d = S.chunked(df, seq).withColumns({"__bits": chain.packed(graph), "__t": seq.ticks(df)})
     item = lambda slot: F.struct(F.lit(slot).alias("slot"), event.alias("e"))
-    side = lambda slot, p: d.where(F.col(f"__k{graph.slots[slot].condition}")).select(
+    side = lambda slot, p: d.where(chain._k(graph.slots[slot].condition)).select(
         F.col(S.KEY).alias(f"{p}k"), F.col(S.CHUNK).alias(f"{p}c"), F.col(S.ORD).alias(f"{p}o"),
         F.col("__t").alias(f"{p}t"), item(slot).alias(f"{p}i"))
     a, b = side(0, "a"), side(1, "b")
@@ -151,18 +155,15 @@ def _by_pairs(df, seq, graph, event, within, timeouts) -> DataFrame:
         F.lit("match").alias("kind"), F.lit(None).cast("timestamp").alias("timeout_ts"), F.lit(0).alias("__no"))
 
 
-def _by_chunks(df, seq, graph, event, within, timeouts) -> DataFrame:
+def _by_chunks(df, seq, graph, event, within, timeouts, now) -> DataFrame:
     """Each (key, chunk) with the events up to ``within`` after it."""
-    if len(graph.conditions) > 62:
-        raise PatternError("more than 62 distinct conditions")
     us = S.micros(within)
-    d = S.time_halo(df, seq, after=within).withColumns(chain.bits(graph)).withColumn("__t", seq.ticks(df))
-    packed = sum((F.when(F.col(f"__k{i}"), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i in range(len(graph.conditions))), F.lit(0).cast("bigint"))
+    # Conditions are evaluated before rows are copied.
+    d = S.time_halo(df.withColumn("__bits", chain.packed(graph)), seq, after=within).withColumn("__t", seq.ticks(df))
     tie = [t for t in seq.tie if t != seq.ts]
-    now = df.agg(F.max(seq.ticks(df))).scalar() if timeouts else F.lit(None).cast("bigint")
     reads = any(x.iterative for x in graph.slots)
     d = d.select(
-        S.KEY, S.CHUNK, "__t", *[F.col(t).alias(f"__o{i}") for i, t in enumerate(tie)], packed.alias("__bits"), "__own",
+        S.KEY, S.CHUNK, "__t", *[F.col(t).alias(f"__o{i}") for i, t in enumerate(tie)], "__bits", "__own",
         event.alias("__ev"), now.alias("__now"), *([event.alias("__fields")] if reads else []))
     machine = Machine(graph, us)
     opens = [graph.slots[e.target].condition for e in graph.edges[START]]

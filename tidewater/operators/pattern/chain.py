@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators import sequence as S
-from tidewater.operators.pattern.graph import END, Edge, Graph
-from tidewater.operators.pattern.spec import RELAXED, STRICT, Running
+from tidewater.operators.pattern.graph import END, START, Edge, Graph
+from tidewater.operators.pattern.spec import RELAXED, STRICT, PatternError, Running
 
 DONE, DEAD = 0, -1
 
@@ -40,16 +40,38 @@ def lowerable(graph: Graph):
     return paths
 
 
-def bits(graph: Graph) -> dict[str, Column]:
-    return {f"__k{i}": F.coalesce(F.expr(t).cast("boolean"), F.lit(False)) for i, t in enumerate(graph.conditions)}
+def packed(graph: Graph) -> Column:
+    """All conditions of a row as one number; NULL counts as false. One column
+    for all uses keeps the shuffled rows small and the same for each use."""
+    if len(graph.conditions) > 62:
+        raise PatternError("more than 62 distinct conditions")
+    terms = [f"IF(coalesce(CAST({t} AS BOOLEAN), false), {1 << i}L, 0L)" for i, t in enumerate(graph.conditions)]
+    return F.expr(" + ".join(terms) or "0L")
+
+
+def _k(i: int) -> str:
+    return f"(__bits & {1 << i}L <> 0)"
+
+
+def relevant(df: DataFrame, graph: Graph) -> DataFrame:
+    """Drop rows no condition wants, where such rows cannot change a match.
+
+    That is so if nothing depends on which row comes next: no strict step, and
+    nothing that holds for the next row only. The filter reaches the scan.
+    """
+    for src, edges in graph.edges.items():
+        for e in edges:
+            if src != START and (e.mode == STRICT or e.need or e.veto or set(graph.fresh_kill.get(src, ())) != set(e.kill)):
+                return df
+    return df.where(" OR ".join(f"({t})" for t in graph.conditions))
 
 
 def _any(ids) -> str:
-    return "(" + " OR ".join(f"__k{i}" for i in ids) + ")" if ids else "false"
+    return "(" + " OR ".join(_k(i) for i in ids) + ")" if ids else "false"
 
 
 def _all(ids) -> str:
-    return "(" + " AND ".join(f"__k{i}" for i in ids) + ")" if ids else "true"
+    return "(" + " AND ".join(_k(i) for i in ids) + ")" if ids else "true"
 
 
 class Lowering:
@@ -57,9 +79,8 @@ class Lowering:
 
     def __init__(self, df: DataFrame, seq: S.Sequence, graph: Graph, paths, event: Column, keep_dead: bool = False):
         self.seq, self.graph, self.paths, self.keep_dead = seq, graph, paths, keep_dead
-        d = S.chunked(df, seq).withColumns({**bits(graph), "__ev": event, "__ts": F.col(seq.ts).cast("timestamp")})
-        self.d = d.select(
-            S.KEY, S.CHUNK, S.ORD, "__ev", "__ts", *[f"__k{i}" for i in range(len(graph.conditions))])
+        d = S.chunked(df, seq).withColumns({"__bits": packed(graph), "__ev": event, "__ts": F.col(seq.ts).cast("timestamp")})
+        self.d = d.select(S.KEY, S.CHUNK, S.ORD, "__ev", "__ts", "__bits")
         item = self.d.select(F.expr(f"array({self._item(0)})").alias("i")).schema["i"].dataType
         self.empty = f"cast(array() AS {item.simpleString()})"
         waits = {tuple(p[i:]) for p in paths for i in range(1, len(p))}
@@ -96,7 +117,7 @@ class Lowering:
         dead = self._dead()
         if e.target == END:
             return f"CASE WHEN {killed} THEN {dead} ELSE {self._res(DONE)} END"
-        ok = f"__k{self.graph.slots[e.target].condition} AND NOT {_any(e.take_not)}"
+        ok = f"{_k(self.graph.slots[e.target].condition)} AND NOT {_any(e.take_not)}"
         if rest:
             # A forbidden row still ends the match as its last event.
             ok += f" AND NOT {killed}"
@@ -115,7 +136,7 @@ class Lowering:
             parts = [f"lag(__x{n}) OVER ({self.W})"]
             sums.append(f"min_by(__x{n}, {S.ORD}) AS __bx{n}")
             if e.mode == RELAXED:
-                decides = f"(__k{g.slots[e.target].condition} OR {_any(e.ignore_not)} OR {_any(e.kill)})"
+                decides = f"({_k(g.slots[e.target].condition)} OR {_any(e.ignore_not)} OR {_any(e.kill)})"
                 d = d.selectExpr(
                     "*", f"CASE {barred} WHEN {decides} OR {fresh_kill} THEN {on_fresh} END AS __x{n}",
                     f"CASE WHEN {decides} THEN {self._outcome(e, rest, _any(e.kill))} END AS __d{n}")
@@ -127,7 +148,7 @@ class Lowering:
         firsts = []
         for i, path in enumerate(self.paths):
             e = path[0][1]
-            ok = (f"__k{g.slots[e.target].condition} AND NOT {_any(e.take_not)} AND {_all(e.need)} "
+            ok = (f"{_k(g.slots[e.target].condition)} AND NOT {_any(e.take_not)} AND {_all(e.need)} "
                   f"AND NOT {_any(e.veto)}")
             firsts.append(f"CASE WHEN {ok} THEN {self._prepend(e.target, tuple(path[1:]))} END AS __p{i}")
         ps = [f"__p{i}" for i in range(len(firsts))]

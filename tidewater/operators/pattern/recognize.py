@@ -254,7 +254,7 @@ def _spelled(d, seq_, vs, define, event, ts, us):
                 hidden.append(rows[i][1])
             ids.append(memo[tail])
         paths.append([(a, Edge(b, STRICT)) for a, b in zip([START, *ids[:-1]], ids)])
-    found = _by_chain(d, seq_, g, paths, event, ts, us, False)
+    found = _by_chain(d, seq_, g, paths, event, ts, us)
     return found, [(s.name, h) for s, h in zip(g.slots, hidden)]
 
 

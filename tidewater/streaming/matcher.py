@@ -23,7 +23,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.operators import sequence as S
 from tidewater.operators.pattern.api import find, shape
-from tidewater.operators.pattern.chain import bits
+from tidewater.operators.pattern.chain import packed
 from tidewater.operators.pattern.graph import END, build
 from tidewater.operators.pattern.local import Event, Machine, Partial
 from tidewater.operators.pattern.spec import Pattern, PatternError
@@ -42,17 +42,13 @@ def stream_match(
     if pattern.skip.kind != "none":
         raise PatternError("stream_match reports all matches; apply a skip strategy to the sink table")
     graph = build(pattern)
-    if len(graph.conditions) > 62:
-        raise PatternError("more than 62 distinct conditions")
     within = S.micros(pattern.within_) if pattern.within_ else None
     cols = list(dict.fromkeys([ts, *tie, *(payload if payload is not None else [c for c in df.columns if c not in by])]))
     event_type = T.StructType([df.schema[c] for c in cols])
-    packed = sum((F.when(F.col(f"__k{i}"), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i in range(len(graph.conditions))),
-                 F.lit(0).cast("bigint"))
     # Times travel in micros: JSON text would cut them to milliseconds.
     plain = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) if _is_time(df, c) else F.col(c) for c in cols]
-    rows = df.withColumns(bits(graph)).select(
-        *by, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"), F.struct(*plain, F.lit(0).alias("__pad")).alias("__e"), packed.alias("__bits"))
+    rows = df.select(
+        *by, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"), F.struct(*plain, F.lit(0).alias("__pad")).alias("__e"), packed(graph).alias("__bits"))
     rows = rows.withColumn("__e", F.to_json("__e", {"ignoreNullFields": "false"}))
     times = [c for c in cols if _is_time(df, c)]
     machine = Machine(graph, within)
