@@ -42,7 +42,7 @@ def with_epoch(
         names = F.array(*[F.lit(x) for x in [first_rule, *[r["__rule"] for r in few]]]).cast("array<string>")
         out = d.withColumn("epoch", epoch.cast("bigint")).withColumn("rule_id", F.element_at(names, (epoch + 1).cast("int")))
     else:
-        seq = S.sequence(d, (), ts, tie, width)
+        seq = S.sequence(d, (), ts, tie, width, small=timedelta(hours=6))
         hit = F.col("__rule").isNotNull()
         out = S.running(d, seq, {"epoch": ("count", F.when(hit, 1))})
         out = S.carry(out, seq, {"rule_id": F.col("__rule")}, inclusive=True)
