@@ -43,10 +43,17 @@ def with_epoch(
         out = d.withColumn("epoch", epoch.cast("bigint")).withColumn("rule_id", F.element_at(names, (epoch + 1).cast("int")))
     else:
         seq = S.sequence(d, (), ts, tie, width, small=timedelta(hours=6))
-        hit = F.col("__rule").isNotNull()
-        out = S.running(d, seq, {"epoch": ("count", F.when(hit, 1))})
-        out = S.carry(out, seq, {"rule_id": F.col("__rule")}, inclusive=True)
-        out = S.unchunked(out.withColumn("rule_id", F.coalesce("rule_id", F.lit(first_rule))))
+        # Control rows are numbered among themselves; the events then take the
+        # number and rule of the last one in a single pass.
+        numbered = S.unchunked(S.positions(d.where(F.col("__rule").isNotNull()), seq, "__n"))
+        control = F.struct(F.col("__n"), F.col("__rule"))
+        numbered = numbered.withColumn("__control", control).drop("__n")
+        events = d.where(F.col("__rule").isNull()).withColumn(
+            "__control", F.lit(None).cast(numbered.schema["__control"].dataType))
+        out = S.carry(events.unionByName(numbered), seq, {"__seen": F.col("__control")}, inclusive=True)
+        out = S.unchunked(out.withColumns({
+            "epoch": F.coalesce(F.col("__seen")["__n"], F.lit(0)).cast("bigint"),
+            "rule_id": F.coalesce(F.col("__seen")["__rule"], F.lit(first_rule))})).drop("__control", "__seen")
     return out.where(F.col("__rule").isNull()).drop("__rule")
 
 
@@ -69,7 +76,9 @@ def match_rules(
     A rule is a pattern or its JSON text, parsed once here.
     """
     payload = list(payload) if payload is not None else [c for c in df.columns if c not in by]
-    data = with_epoch(df, rule, ts, tie, first_rule, width)
+    data = with_epoch(df, rule, ts, tie, first_rule)
+    # Fitted on the events themselves: an epoch only makes groups smaller.
+    width = S.sequence(df, by, ts, tie, width).width
     keys = [*by, "epoch"]
     parts = []
     for rule_id, p in rules.items():

@@ -19,6 +19,11 @@ from tidewater.operators import sequence as S
 from tidewater.operators.pattern.spec import Skip
 
 
+# Key as text that tells any two keys apart: times to the micro, NULLs spelled out.
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+KEY_TEXT = {"ignoreNullFields": "false", "timestampFormat": MICROS, "timestampNTZFormat": MICROS}
+
+
 def pivot_ord(skip: Skip, graph, ord_of, last_ord: Column) -> Column:
     """Order of the event a match skips to."""
     if skip.kind == "past_last":
@@ -58,7 +63,7 @@ def _pick(matches: DataFrame, past: bool) -> DataFrame:
     pivot = F.coalesce("__po", "__so")
     jumps = F.lit(True) if past else pivot > F.col("__so")
     flat = matches.select(
-        "*", F.to_json(S.KEY, {"ignoreNullFields": "false"}).alias("__k"), jumps.alias("__j"),
+        "*", F.to_json(S.KEY, KEY_TEXT).alias("__k"), jumps.alias("__j"),
         *[F.col("__so")[f].alias(s) for f, s in zip(fields, s_cols)], *[pivot[f].alias(p) for f, p in zip(fields, p_cols)])
     kinds = {c: flat.schema[c].dataType.simpleString() for c in s_cols}
     ddl = lambda cols: ", ".join(f"{c} {kinds[s]}" for cs in cols for c, s in zip(cs, s_cols))

@@ -6,7 +6,8 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tidewater.operators.pattern import Pattern, Running, Skip, begin, match
+from tidewater.operators import sequence as S
+from tidewater.operators.pattern import Running, Skip, begin, match
 from tidewater.operators.pattern import recognize as M
 from tidewater.operators.pattern.rules import match_rules
 from tidewater.operators.pattern.runs import runs
@@ -145,12 +146,13 @@ def cep_one_or_more_greedy(spark, d):
     SELECT x.user_id, x.n AS views, y.n AS buys, x.lo AS first_pos FROM q x JOIN q y ON x.user_id = y.user_id AND y.lo = x.hi + 1
     WHERE x.event_type = 'view' AND x.n >= 2 AND y.event_type = 'purchase'""")
 def cep_run_then_next(spark, d):
-    r = runs(events(spark, d), ["user_id"], "ts", ["event_id"], c("event_type"))
+    ev = events(spark, d)
+    width = S.sequence(ev, ("user_id",), "ts", ("event_id",)).width
+    r = runs(ev, ["user_id"], "ts", ["event_id"], c("event_type"), width=width)
     p = begin("v").where("label = 'view' AND n >= 2").next("b").where("label = 'purchase'")
-    m = match(r, p, ["user_id"], "first_ts", ["run_id"], ["n", "first_ts"])
+    m = match(r, p, ["user_id"], "first_ts", ["run_id"], ["n", "first_ts"], width=width)
     # Positions of the runs' first events: events before them in earlier runs.
-    from tidewater.operators import sequence as S
-    upto = S.running(r, S.sequence(r, ("user_id",), "first_ts", ("run_id",)), {"upto": ("sum", c("n"))})
+    upto = S.running(r, S.sequence(r, ("user_id",), "first_ts", ("run_id",), width), {"upto": ("sum", c("n"))})
     at = S.unchunked(upto).select("user_id", c("first_ts").alias("start_ts"), (c("upto") - c("n") + 1).alias("first_pos"))
     return m.join(at, ["user_id", "start_ts"]).select(
         "user_id", c("v")[0]["n"].alias("views"), c("b")[0]["n"].alias("buys"), "first_pos")
