@@ -52,7 +52,7 @@ class Machine:
         for p in partials:
             self._advance(p, ev, out, done)
         if may_start:
-            for i, e in enumerate(self.g.edges.get(START, ())):
+            for e in self.g.edges.get(START, ()):
                 if self._open(e, ev.bits) and self._takes(e, ev, ()):
                     self._took(e, ev, ev.ts, (), False, out, done)
         return out, done

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
@@ -35,10 +35,8 @@ def window_agg(df: DataFrame, window: Column, keys: list[str], aggs: list[Column
 def evict_count(df: DataFrame, window: Column, keys: list[str], ts: str, tie: list[str], keep: int) -> DataFrame:
     """Evictor that keeps a window's last ``keep`` rows before it is evaluated.
 
-    ``max_by`` over (ts, tie) with k results combines before the shuffle.
+    Spark keeps that many rows per task before the shuffle already.
     """
-    from pyspark.sql import Window
-
     rows = df.withColumn("w", window)
     order = [F.col(ts).desc(), *[F.col(c).desc() for c in tie]]
     rn = F.row_number().over(Window.partitionBy("w", *keys).orderBy(*order))
