@@ -19,6 +19,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import cut
 from tidewater.session import work_dir
@@ -85,10 +86,12 @@ def line_key(line: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = BATCHES, fanout: int = FANOUT,
-                text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_lines, n_dropped, n_full (lines with a word that stay) and kept_text of every row."""
+                text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_lines, n_dropped, n_full (lines with a word that stay, -1 where none was dropped), kept_text
+    and the ``keep`` columns (as a struct ``more``) of every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    more = F.struct(*[F.col(c) for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), more.alias("more"))
     tag = F.xxhash64("text")
     lines = rows.select("doc_id", tag.alias("tag"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     # A key is never longer than its line.
@@ -117,7 +120,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
 
     def rebuild(found):
         for batch in found:
-            ids, texts, gone = batch.columns
+            ids, texts, gone, others = batch.columns
             n_lines, n_dropped, n_full, kept = [], [], [], []
             for t, g in zip(texts.to_pylist(), gone.to_pylist(), strict=True):
                 parts = t.split("\n")
@@ -128,7 +131,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
                 n_full.append(sum(1 for x in rest if x.strip(BLANK)) if g else -1)
                 kept.append("\n".join(rest) if g else t)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(n_full, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "n_lines", "n_dropped", "n_full", "kept_text"])
+                [ids, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(n_full, pa.int64()), pa.array(kept, pa.string()), others],
+                names=schema.names)
 
-    return whole.select("doc_id", "text", "lost").mapInArrow(rebuild, "doc_id long, n_lines long, n_dropped long, n_full long, kept_text string")
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("doc_id", "n_lines", "n_dropped", "n_full")],
+                           T.StructField("kept_text", T.StringType()), T.StructField("more", rows.schema["more"].dataType)])
+    out = whole.select("doc_id", "text", "lost", "more").mapInArrow(rebuild, schema)
+    return out if keep else out.drop("more")
