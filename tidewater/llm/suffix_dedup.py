@@ -124,12 +124,13 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-SUFFIX = "key long, bucket long, refined long, doc long, lo long, hi long"
-NAMES = ["key", "bucket", "refined", "doc", "lo", "hi"]
+#: Rows that are decided have no refined number, and any bucket.
+SUFFIX = "bucket long, refined long, doc long, lo long, hi long"
+NAMES = ["bucket", "refined", "doc", "lo", "hi"]
 
 
 def _suffix_rows(batches):
-    """Suffixes of all texts; those that repeat one of the same part have no bucket, as they are decided."""
+    """Suffixes of all texts; those that repeat one of the same part have no refined number, as they are decided."""
     held: list[list[np.ndarray]] = []
     count = 0
 
@@ -144,11 +145,9 @@ def _suffix_rows(batches):
         lone = ~own
         keep = own & first
         d, a, b = _joined(doc[lone], lo[lone], hi[lone])
-        none = pa.nulls(len(d), pa.int64())
-        spread = pa.array(d * 1_000_003 + a)
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(bucket[keep])), pa.array(_signed(bucket[keep])), pa.array(_signed(refined[keep])),
+        yield pa.RecordBatch.from_arrays([pa.array(_signed(bucket[keep])), pa.array(_signed(refined[keep])),
                                           pa.array(doc[keep]), pa.array(lo[keep]), pa.array(hi[keep])], names=NAMES)
-        yield pa.RecordBatch.from_arrays([spread, none, none, pa.array(d), pa.array(a), pa.array(b)], names=NAMES)
+        yield _decided(d, a, b)
 
     for batch in batches:
         ids = batch.column(0).fill_null(FIRST).to_numpy()
@@ -163,6 +162,11 @@ def _suffix_rows(batches):
         yield from reduced()
 
 
+def _decided(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    # Their bucket only spreads them over tasks.
+    return pa.RecordBatch.from_arrays([pa.array(doc * 1_000_003 + lo), pa.nulls(len(doc), pa.int64()), pa.array(doc), pa.array(lo), pa.array(hi)], names=NAMES)
+
+
 def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     """Ranges of one document that touch, as one."""
     if not len(doc):
@@ -180,7 +184,7 @@ def _repeats(batches):
     last: tuple | None = None  # first row of the refined bucket that is open: bucket, refined, doc, lo, hi
     several = False
     for batch in batches:
-        bucket, refined, doc, lo, hi = (c.fill_null(0).to_numpy() for c in batch.columns[1:])
+        bucket, refined, doc, lo, hi = (c.fill_null(0).to_numpy() for c in batch.columns)
         decided = batch.column(1).is_null().to_numpy(zero_copy_only=False)
         yield _ranges(None, doc[decided], lo[decided], hi[decided])
         live = ~decided
@@ -230,7 +234,7 @@ def _strings(batches):
             for r in found:
                 _, whole = bucket_numbers(text[r["lo"]:r["hi"] + LENGTH])
                 held.append((whole[:r["hi"] - r["lo"] + 1], np.full(r["hi"] - r["lo"] + 1, ids[k]), np.arange(r["lo"], r["hi"] + 1),
-                             np.full(r["hi"] - r["lo"] + 1, r["bucket"])))
+                             np.full(r["hi"] - r["lo"] + 1, r["bucket"] & 0xFFFFFFFF)))
         if not held:
             continue
         number, doc, lo, bucket = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -239,15 +243,14 @@ def _strings(batches):
         first = np.r_[True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1])]
         head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
         repeat = (doc != doc[head]) | (lo != lo[head])
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(bucket[first]), pa.array(_signed(number[first])),
-                                          pa.array(doc[first]), pa.array(lo[first]), pa.array(lo[first])], names=NAMES)
-        d, a, b = _joined(doc[repeat], lo[repeat], lo[repeat])
-        none = pa.nulls(len(d), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(d * 1_000_003 + a), none, none, pa.array(d), pa.array(a), pa.array(b)], names=NAMES)
+        # Half of the bucket number beside the string's own: 96 bits.
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(_signed(number[first])), pa.array(doc[first]), pa.array(lo[first]),
+                                          pa.array(lo[first])], names=NAMES)
+        yield _decided(*_joined(doc[repeat], lo[repeat], lo[repeat]))
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key").drop("key").withColumn("key", F.lit(0).cast("long")).select(*NAMES).sortWithinPartitions("bucket", "refined", "doc", "lo")
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "refined", "doc", "lo")
 
 
 def repeated_ranges(rows: DataFrame) -> DataFrame:
