@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of whole texts: a Python worker holds a few MB of them at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
