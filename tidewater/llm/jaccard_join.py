@@ -45,12 +45,12 @@ HINTS = 1 << 18
 #: Documents from which a shingle may be ordered last.
 FREQUENT = 50
 #: Shingles counted together, and the count there from which one is reported.
-PART_SHINGLES, PART_COUNT = 1 << 21, 3
+PART_SHINGLES, PART_COUNT = 1 << 20, 3
 LEAST_MATCH, MOST_MATCH = 2, 8
 #: Documents of a block of the frequent part.
 BLOCK = 1024
 #: Bytes of texts whose sets a task keeps while it verifies.
-KEPT_SETS = 64 << 20
+KEPT_SETS = 32 << 20
 
 
 def sets(column, n: int):

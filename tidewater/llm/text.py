@@ -17,7 +17,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes worked on at once; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
