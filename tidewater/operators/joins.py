@@ -10,16 +10,6 @@ from pyspark.sql import types as T
 
 from tidewater.operators import sequence as S
 
-# Rows below which a side may be broadcast; checked at run time by counting
-# no further than the bound.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after a bounded count shows the side is small."""
-    seen = df.limit(rows + 1).count()
-    return F.broadcast(df) if seen <= rows else df
-
 
 def asof_join(
     left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, take: list[str],
@@ -29,7 +19,7 @@ def asof_join(
 
     One union, one shuffle on (key, time chunk), one backward-looking carry; no
     pairs are formed. Among right rows of equal time the greatest one (by the
-    ``take`` columns) wins.
+    ``take`` columns) wins. A NULL key or time matches nothing.
     """
     lcols = left.columns
     packed = F.struct(*[F.col(c) for c in dict.fromkeys([right_ts, *take])])
@@ -40,7 +30,7 @@ def asof_join(
         *by, F.col(left_ts).alias("__t"), F.lit(0 if side_first else 1).alias("__side"),
         F.struct(*lcols).alias("__l"), F.lit(None).cast(rtype).alias("__r"),
     )
-    b = right.where(F.col(right_ts).isNotNull()).select(
+    b = right.dropna(subset=[right_ts, *by]).select(
         *by, F.col(right_ts).alias("__t"), F.lit(side_first).alias("__side"),
         F.lit(None).cast(ltype).alias("__l"), packed.alias("__r"),
     )
