@@ -65,7 +65,7 @@ def item(coll: Column, key) -> Column:
 def element(bag: Column) -> Column:
     """The only element; an error when there is more than one, NULL when none."""
     return F.when(
-        F.size(bag) > 1, F.raise_error(F.lit("ELEMENT: more than one value")).cast("string")
+        F.size(bag) > 1, F.raise_error(F.lit("ELEMENT: more than one value"))
     ).otherwise(F.try_element_at(bag, F.lit(1)))
 
 

@@ -15,8 +15,8 @@ def sum0(x: Column) -> Column:
 def single_value(x: Column) -> Column:
     """The group's one value; more than one row is an error."""
     return F.when(
-        F.count(F.lit(1)) > 1, F.raise_error(F.lit("SINGLE_VALUE: more than one row")).cast("string")
-    ).otherwise(F.any_value(x).cast("string"))
+        F.count(F.lit(1)) > 1, F.raise_error(F.lit("SINGLE_VALUE: more than one row"))
+    ).otherwise(F.any_value(x))
 
 
 def group_id_union(df: DataFrame, cols: list[str], sets: list[list[str]], aggs: list[Column]) -> DataFrame:
