@@ -16,8 +16,12 @@ tasks:
    are neighbours, form one refined number.
 2. Buckets are sorted by refined number and place. In a refined bucket all but the first
    suffix repeat all their strings. A bucket that holds a single refined number is done.
-3. In buckets of several refined numbers the first suffix of each is split into its
-   strings, which are sorted by their own number: again all but the first repeat.
+3. In buckets of several refined numbers the first suffixes may still share some of their
+   strings. A string that starts k bytes before the suffix also holds the 40-byte buckets
+   40 before, 20 before and 20 after, or 40 after it, for k in three classes; each row
+   carries 12 bits of these. A class that no other suffix of the bucket agrees with holds
+   no common string and is done. The others are split into their strings, which are
+   sorted by their own number: again all but the first repeat.
 
 Equal suffixes of one part of the input are reduced to the first before the shuffle, so a
 string that is everywhere sends at most one row from each part.
@@ -73,10 +77,13 @@ def bucket_numbers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffixes(data: np.ndarray, off: np.ndarray):
-    """row, first and last string start, bucket, refined number of each suffix that represents strings of one row."""
+    """row, first string start, bucket, refined number and code of each suffix that represents strings of one row.
+
+    The code holds last minus first start (6 bits), suffix minus first start (6 bits),
+    and 12 bits of the neighbouring buckets of each class of strings."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none.astype(np.uint64), none
     h, whole = bucket_numbers(data)
     n = len(whole)
     # The least number of the GRAM buckets within each string, by windows of doubled width.
@@ -93,14 +100,22 @@ def suffixes(data: np.ndarray, off: np.ndarray):
         valid[off[k]:off[k + 1] - LENGTH + 1] = True
     start = np.flatnonzero(valid)
     if not len(start):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none.astype(np.uint64), none
     at = at[start].astype(np.int64)
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
     lo, hi = start[new], start[np.r_[new[1:] - 1, len(start) - 1]]
     anchor = at[new]
     part = _refine(whole[start], (at - start).astype(np.uint64))
     refined = np.add.reduceat(part, new)
-    return np.searchsorted(off, lo, "right") - 1, lo, hi, h[anchor], refined
+
+    def near(step: int) -> np.ndarray:
+        # Past the ends only where the class has no string.
+        return h[np.clip(anchor + step, 0, len(h) - 1)]
+
+    code = (hi - lo) | (anchor - lo) << 6
+    for k, number in enumerate((near(GRAM), _refine(near(-GRAM // 2), near(GRAM // 2)), near(-GRAM))):
+        code |= (number >> np.uint64(52)).astype(np.int64) << (12 + 12 * k)
+    return np.searchsorted(off, lo, "right") - 1, lo, h[anchor], refined, code
 
 
 def _places(ids: np.ndarray, column):
@@ -124,9 +139,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-#: Rows that are decided have no refined number, and any bucket.
-SUFFIX = "bucket long, refined long, doc long, lo long, hi long"
-NAMES = ["bucket", "refined", "doc", "lo", "hi"]
+#: Rows that are decided have no refined number, any bucket, and last minus first start as code.
+SUFFIX = "bucket long, refined long, doc long, lo long, code long"
+NAMES = ["bucket", "refined", "doc", "lo", "code"]
+#: Least and greatest k of the three classes of strings.
+CLASSES = ((0, 19), (20, 39), (40, 60))
 
 
 def _suffix_rows(batches):
@@ -135,25 +152,25 @@ def _suffix_rows(batches):
     count = 0
 
     def reduced():
-        bucket, refined, doc, lo, hi = (np.concatenate(c) for c in zip(*held, strict=True))
+        bucket, refined, doc, lo, code = (np.concatenate(c) for c in zip(*held, strict=True))
         order = np.lexsort((lo, doc, refined, bucket))
-        bucket, refined, doc, lo, hi = bucket[order], refined[order], doc[order], lo[order], hi[order]
+        bucket, refined, doc, lo, code = bucket[order], refined[order], doc[order], lo[order], code[order]
         first = np.r_[True, (bucket[1:] != bucket[:-1]) | (refined[1:] != refined[:-1])]
         head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
         # The same place again (an equal row) is no repeat.
         own = (doc == doc[head]) & (lo == lo[head])
         lone = ~own
         keep = own & first
-        d, a, b = _joined(doc[lone], lo[lone], hi[lone])
+        d, a, b = _joined(doc[lone], lo[lone], lo[lone] + (code[lone] & 63))
         yield pa.RecordBatch.from_arrays([pa.array(_signed(bucket[keep])), pa.array(_signed(refined[keep])),
-                                          pa.array(doc[keep]), pa.array(lo[keep]), pa.array(hi[keep])], names=NAMES)
+                                          pa.array(doc[keep]), pa.array(lo[keep]), pa.array(code[keep])], names=NAMES)
         yield _decided(d, a, b)
 
     for batch in batches:
         ids = batch.column(0).fill_null(FIRST).to_numpy()
         for own, base, data, off in _places(ids, batch.column(1)):
-            row, lo, hi, bucket, refined = suffixes(data, off)
-            held.append([bucket, refined, own[row], lo - off[row] + base, hi - off[row] + base])
+            row, lo, bucket, refined, code = suffixes(data, off)
+            held.append([bucket, refined, own[row], lo - off[row] + base, code])
             count += len(row)
             if count >= PART:
                 yield from reduced()
@@ -164,7 +181,7 @@ def _suffix_rows(batches):
 
 def _decided(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
     # Their bucket only spreads them over tasks.
-    return pa.RecordBatch.from_arrays([pa.array(doc * 1_000_003 + lo), pa.nulls(len(doc), pa.int64()), pa.array(doc), pa.array(lo), pa.array(hi)], names=NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(doc * 1_000_003 + lo), pa.nulls(len(doc), pa.int64()), pa.array(doc), pa.array(lo), pa.array(hi - lo)], names=NAMES)
 
 
 def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -178,28 +195,42 @@ def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     return doc[new], lo[new], hi[np.r_[new[1:] - 1, len(hi) - 1]]
 
 
+def _common(group: np.ndarray, lo: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start of the strings that each suffix may share with another of its group; first > last: none."""
+    anchor, hi = lo + (code >> 6 & 63), lo + (code & 63)
+    first, last = hi + 1, lo - 1
+    for k, (least, most) in enumerate(CLASSES):
+        a, b = np.maximum(lo, anchor - most), np.minimum(hi, anchor - least)
+        at = np.flatnonzero(a <= b)
+        key = group[at] << 12 | code[at] >> (12 + 12 * k) & 0xFFF
+        _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        at = at[n[which] > 1]
+        first[at], last[at] = np.minimum(first[at], a[at]), np.maximum(last[at], b[at])
+    return first, last
+
+
 def _repeats(batches):
     """Rows sorted by bucket, refined number and place: the ranges that repeat (no bucket), and
-    the first suffixes of buckets that hold several refined numbers."""
-    last: tuple | None = None  # first row of the refined bucket that is open: bucket, refined, doc, lo, hi
+    what the first suffixes of buckets with several refined numbers may share."""
+    last: tuple | None = None  # first row of the refined bucket that is open: bucket, refined, doc, lo, code
     several = False
     for batch in batches:
-        bucket, refined, doc, lo, hi = (c.fill_null(0).to_numpy() for c in batch.columns)
+        bucket, refined, doc, lo, code = (c.fill_null(0).to_numpy() for c in batch.columns)
         decided = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-        yield _ranges(None, doc[decided], lo[decided], hi[decided])
+        yield _ranges(None, doc[decided], lo[decided], lo[decided] + code[decided])
         live = ~decided
-        bucket, refined, doc, lo, hi = bucket[live], refined[live], doc[live], lo[live], hi[live]
+        bucket, refined, doc, lo, code = bucket[live], refined[live], doc[live], lo[live], code[live]
         n = len(bucket)
         if not n:
             continue
         if last is not None:
-            bucket, refined, doc, lo, hi = (np.r_[np.array([x], c.dtype), c] for x, c in zip(last, (bucket, refined, doc, lo, hi), strict=True))
+            bucket, refined, doc, lo, code = (np.r_[np.array([x], c.dtype), c] for x, c in zip(last, (bucket, refined, doc, lo, code), strict=True))
         other = np.r_[True, bucket[1:] != bucket[:-1]]
         first = other | np.r_[True, refined[1:] != refined[:-1]]
         at = np.arange(len(bucket))
         head = np.maximum.accumulate(np.where(first, at, 0))
         repeat = (doc != doc[head]) | (lo != lo[head])
-        yield _ranges(None, doc[repeat], lo[repeat], hi[repeat])
+        yield _ranges(None, doc[repeat], lo[repeat], lo[repeat] + (code[repeat] & 63))
         # Heads of refined buckets; the last one stays open until its bucket's end is seen.
         heads = np.flatnonzero(first)
         group = np.cumsum(other[heads])
@@ -209,12 +240,20 @@ def _repeats(batches):
             mixed |= group == group[0]
         # A bucket that goes on may yet become mixed, so its only head waits.
         closing = heads[-1]
-        send = heads[mixed & (heads != closing)]
-        yield _ranges(bucket[send], doc[send], lo[send], hi[send])
+        # A bucket of which other batches hold a part is sent whole.
+        part = group == group[-1]
+        if several:
+            part |= group == group[0]
+        send = heads[mixed & part & (heads != closing)]
+        yield _ranges(bucket[send], doc[send], lo[send], lo[send] + (code[send] & 63))
+        send, own = heads[mixed & ~part], group[mixed & ~part]
+        a, b = _common(own, lo[send], code[send])
+        send, a, b = send[a <= b], a[a <= b], b[a <= b]
+        yield _ranges(bucket[send], doc[send], a, b)
         several = bool(mixed[-1])
-        last = (bucket[closing], refined[closing], doc[closing], lo[closing], hi[closing])
+        last = (bucket[closing], refined[closing], doc[closing], lo[closing], code[closing])
     if last is not None and several:
-        yield _ranges(*(np.array([x]) for x in (last[0], last[2], last[3], last[4])))
+        yield _ranges(*(np.array([x]) for x in (last[0], last[2], last[3], last[3] + (last[4] & 63))))
 
 
 def _ranges(bucket, doc, lo, hi) -> pa.RecordBatch:
@@ -245,7 +284,7 @@ def _strings(batches):
         repeat = (doc != doc[head]) | (lo != lo[head])
         # Half of the bucket number beside the string's own: 96 bits.
         yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(_signed(number[first])), pa.array(doc[first]), pa.array(lo[first]),
-                                          pa.array(lo[first])], names=NAMES)
+                                          pa.array(np.zeros(int(first.sum()), np.int64))], names=NAMES)
         yield _decided(*_joined(doc[repeat], lo[repeat], lo[repeat]))
 
 
