@@ -85,10 +85,8 @@ def test_reference_inputs(spark):
     assert match(d, begin("s").where("dp = '2'"), ["dp"], "ts", []).count() == 3
 
 
-@pytest.mark.parametrize("inline", [True, False])
-def test_rule_switch(spark, monkeypatch, inline):
+def test_rule_switch(spark):
     """A control row changes the pattern for all keys and drops partial matches."""
-    monkeypatch.setattr(RU, "INLINE_CONTROLS", 64 if inline else 0)
     text = "A1 A2 B1 C A1 B1 B2 B1 C A1"
     rows = []
     for j, x in enumerate(text.split()):

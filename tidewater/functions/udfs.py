@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterator
 
 import pandas as pd
@@ -49,5 +51,5 @@ def register(spark: SparkSession) -> None:
 
 
 def rule_predicate(rule: str) -> Column:
-    """A rule kept as data: ``getValue(data) > 10`` style text becomes a Column."""
-    return F.expr(rule)
+    """A rule kept as data: ``getValue(data) > 10`` style text becomes a Column; ``getValue(x)`` is the field x."""
+    return F.expr(re.sub(r"\bgetValue\s*\(([^()]*)\)", r"(\1)", rule))

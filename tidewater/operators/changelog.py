@@ -43,7 +43,11 @@ def merge(target: DataFrame, source: DataFrame, key: list[str], update: dict[str
     """MERGE: ``update`` for matched rows, ``insert`` for new keys.
 
     Expressions see target columns as ``t.*`` and source columns as ``s.*``.
+    Several source rows for one target row are an error.
     """
+    copies = source.groupBy(*key).agg(F.count(F.lit(1)).alias("__copies"))
+    source_columns = source.columns
+    source = source.join(copies, key, "left")
     t, s = target.alias("t"), source.alias("s")
     cond = None
     for k in key:
@@ -53,11 +57,13 @@ def merge(target: DataFrame, source: DataFrame, key: list[str], update: dict[str
         s.withColumn("__in_s", F.lit(True)).alias("s"), cond, "full")
     matched = F.col("t.__in_t").isNotNull() & F.col("s.__in_s").isNotNull()
     fresh = F.col("t.__in_t").isNull()
+    twice = matched & (F.col("s.__copies") > 1)
+    error = F.raise_error(F.lit("MERGE: several source rows match one target row"))
     out = []
     for c in target.columns:
         keep = F.col(f"t.{c}")
-        new = insert.get(c, F.col(f"s.{c}") if c in source.columns else F.lit(None))
-        out.append(F.when(fresh, new).when(matched, update.get(c, keep)).otherwise(keep).alias(c))
+        new = insert.get(c, F.col(f"s.{c}") if c in source_columns else F.lit(None))
+        out.append(F.when(fresh, new).when(twice, error.cast(target.schema[c].dataType)).when(matched, update.get(c, keep)).otherwise(keep).alias(c))
     return j.select(*out)
 
 

@@ -151,7 +151,7 @@ def match_recognize(
     per variable (see ``first_of``, ``last_of``).
     """
     names = _variables(pattern)
-    if within is None and width is None and variants(pattern) is None:
+    if within is None and variants(pattern) is None:
         raise PatternError("a pattern with * or + needs within, which bounds its groups")
     seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if within else None))
     d = _navigated(df, seq_, navigate or {}, pattern)

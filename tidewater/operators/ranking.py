@@ -26,7 +26,7 @@ def ranked(df: DataFrame, seq: S.Sequence, buckets: int | None = None) -> DataFr
         F.coalesce(F.sum("__d").over(before), F.lit(0)).alias("__bd"),
         F.sum("__n").over(whole).alias("__total"),
     )
-    by_value = Window.partitionBy(S.KEY, S.CHUNK).orderBy(ts.desc() if seq.desc else ts.asc())
+    by_value = Window.partitionBy(S.KEY, S.CHUNK).orderBy(ts.desc_nulls_last() if seq.desc else ts.asc_nulls_last())
     d = d.select(
         "*",
         F.row_number().over(S.local(seq)).alias("__rn"),

@@ -52,6 +52,8 @@ class Sequence:
 # Below this estimated input size no (key, chunk) group can be too large for a
 # task, whatever the width, and the data is not measured.
 SMALL_BYTES = 128 << 20
+# Rows without an order value are a chunk of their own, after all others.
+NULL_CHUNK = 1 << 62
 TARGET_ROWS = 1_000_000
 
 
@@ -99,14 +101,18 @@ def chunked(df: DataFrame, seq: Sequence) -> DataFrame:
     ord_fields = [F.col(seq.ts), *[F.col(c) for c in seq.tie]]
     return (
         df.withColumn(KEY, F.struct(*[F.col(c) for c in seq.by]) if seq.by else F.struct(F.lit(0).alias("all")))
-        .withColumn(CHUNK, F.floor(seq.ticks(df) / F.lit(seq.span())) * sign)
+        .withColumn(CHUNK, F.coalesce(F.floor(seq.ticks(df) / F.lit(seq.span())) * sign, F.lit(NULL_CHUNK)))
         .withColumn(ORD, F.struct(*ord_fields))
     )
 
 
 def _order(seq: Sequence, backward: bool) -> list[Column]:
     first_desc = seq.desc != backward
-    head = F.col(seq.ts).desc_nulls_last() if first_desc else F.col(seq.ts).asc_nulls_last()
+    t = F.col(seq.ts)
+    if backward:
+        head = t.desc_nulls_first() if first_desc else t.asc_nulls_first()
+    else:
+        head = t.desc_nulls_last() if first_desc else t.asc_nulls_last()
     tail = [F.col(c).desc() if backward else F.col(c).asc() for c in seq.tie]
     return [head, *tail]
 

@@ -105,19 +105,23 @@ def stream_static_join(spark, d):
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, d):
-    ev = stream_events(spark, path(d), "60 days").select("user_id", "event_type", "ts")
-    return collect_table(ev.dropDuplicatesWithinWatermark(["user_id", "event_type"]).select("user_id", "event_type"))
+    # No horizon: a pair counts once, however much later it comes back. State is one row per pair.
+    return collect_table(stream_table(spark, path(d)).select("user_id", "event_type").dropDuplicates())
 
 
 def _slices(spark, d):
-    """Three slices by time; rows of high value arrive one slice late."""
+    """Three slices of equal time; rows of high value arrive one slice late."""
     ev = load_events(spark, d)
-    due = F.when(c("ts") < "2024-01-11", 0).when(c("ts") < "2024-01-21", 1).otherwise(2)
+    # Seconds from the first event on, cut into thirds.
+    lo, hi = ev.agg(F.unix_seconds(F.min("ts")), F.unix_seconds(F.max("ts"))).first()
+    lo, hi = lo or 0, hi or 0
+    due = F.least(F.floor((F.unix_seconds("ts") - F.lit(lo)) * 3 / F.lit(max(hi - lo, 1))), F.lit(2))
     ev = ev.withColumn("slice", F.least(due + F.when(c("value") > 75, 1).otherwise(0), F.lit(2)))
     return [ev.where(c("slice") == i).drop("slice") for i in range(3)]
 
 
-_SLICES = """s AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS due FROM events),
+_SLICES = """e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events), b AS (SELECT min(sec) AS lo, max(sec) AS hi FROM e),
+    s AS (SELECT e.* EXCLUDE (sec), least(floor((sec - lo) * 3 / greatest(hi - lo, 1)), 2) AS due FROM e CROSS JOIN b),
     a AS (SELECT *, least(due + CASE WHEN value > 75 THEN 1 ELSE 0 END, 2) AS slice FROM s),
     w AS (SELECT slice, max(max(ts)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS mark FROM a GROUP BY slice)"""
 
@@ -162,12 +166,9 @@ def stream_counters(spark, d):
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     from tidewater.functions.json import from_lenient
     raw = stream_table(spark, path(d)).select(F.expr(_MESSY).alias("value"))
-    out = W.quality_split(raw, "value", lambda t: from_lenient(t, schema))
-    _, q = write_all(out.select("data"), name="counted")
-    seen = [p.observedMetrics["rows"] for p in q.recentProgress if "rows" in p.observedMetrics]
-    total = lambda n: sum(getattr(r, n) for r in seen)
-    # One counter pair per micro-batch, added up.
-    return spark.createDataFrame([(total("normalDataNum"), total("dirtyDataNum"))], "normalDataNum bigint, dirtyDataNum bigint")
+    sink = W.QualitySplit(spark, "value", lambda t: from_lenient(t, schema))
+    each_batch(raw, sink)
+    return sink.counts()
 
 
 _BUY = begin("a").where("event_type = 'click'").followed_by("b").where("event_type = 'purchase'").within(6 * HOUR)
@@ -175,14 +176,12 @@ _BUY_SQL = """SELECT a.user_id, a.event_id AS a_id, b.event_id AS b_id, b.ts FRO
     ASOF JOIN (SELECT * FROM events WHERE event_type = 'purchase') b ON a.user_id = b.user_id AND a.ts < b.ts WHERE b.ts - a.ts < INTERVAL 6 HOUR"""
 
 
-@query("stream_cep_event_time", f"SELECT user_id, a_id, b_id FROM ({_BUY_SQL}) WHERE ts < {_CLOSED}")
+@query("stream_cep_event_time", f"SELECT user_id, a_id, b_id FROM ({_BUY_SQL}) WHERE ts <= {_CLOSED}")
 def stream_cep_event_time(spark, d):
     ev = stream_events(spark, path(d), "1 hour").select("event_id", "user_id", "event_type", "ts")
     m = stream_match(ev, _BUY, ["user_id"], "ts", ["event_id"], ["event_id"])
-    flat = m.select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id"), "end_ts")
-    out = collect_table(flat)
-    top = load(spark, d, "events").agg(F.date_trunc("millisecond", F.max("ts")) - F.expr("INTERVAL 1 HOUR")).scalar()
-    return out.where(c("end_ts").cast("timestamp_ntz") < top.cast("timestamp_ntz")).select("user_id", "a_id", "b_id")
+    # Events at the watermark itself have passed it.
+    return collect_table(m.select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id")))
 
 
 @query("stream_cep_microbatch", f"""
@@ -232,8 +231,10 @@ def state_bootstrap(spark, d):
     """State from the rows before a time, then continued with the rest."""
     ev = load(spark, d, "events").where("event_type <> 'error'").select("user_id", "ts")
     build = lambda s: s.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    home = ST.bootstrap(ev.where("ts < TIMESTAMP_NTZ '2024-01-15'"), build, sink=_drop)
-    ev.where("NOT ts < TIMESTAMP_NTZ '2024-01-15'").write.mode("append").parquet(f"{home}/source")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    old = F.coalesce(c("ts") < F.lit(lo + (hi - lo) / 2), F.lit(True)) if lo else F.lit(True)
+    home = ST.bootstrap(ev.where(old), build, sink=_drop)
+    ev.where(~old).write.mode("append").parquet(f"{home}/source")
     ST.feed(spark, home, build, sink=_drop)
     return ST.keyed_state(spark, f"{home}/checkpoint").select("user_id", c("count").alias("n"))
 

@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # JSON objects with a repeated name are JSON; the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Rows of whole texts: a Python worker holds a few MB of them at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
@@ -77,9 +79,3 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex[:12]}")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder, so a lost executor costs no replay."""
-    spark = df.sparkSession
-    path = work_dir(spark, "cut")
-    df.write.parquet(path)
-    return spark.read.parquet(path)

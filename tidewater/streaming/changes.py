@@ -19,7 +19,6 @@ class RetractSink:
     def __init__(self, spark, key: list[str], path: str | None = None):
         self.spark, self.key = spark, key
         self.path = path or work_dir(spark, "retract")
-        self.seen = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         old = self._snapshot(batch, batch_id)
@@ -30,10 +29,9 @@ class RetractSink:
 
     def _snapshot(self, batch: DataFrame, batch_id: int) -> DataFrame:
         rest = [c for c in batch.columns if c not in self.key]
-        try:
-            log = self.spark.read.option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
-        except Exception:  # first batch
+        if batch_id == 0:
             return batch.limit(0)
+        log = self.spark.read.option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
         log = log.where(F.col("batch") < batch_id)
         return log.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*self.key, "r.*")
 

@@ -88,7 +88,8 @@ def stream_match(
             state.update((json.dumps(body),))
             due = [e.ts for e in waiting] + ([p.start + within for p in partials] if within else [])
             if due:
-                state.setTimeoutTimestamp(max(min(due) // 1000, mark // 1000 + 1))
+                # Fires once the watermark is past it, so that events at the mark itself are taken.
+                state.setTimeoutTimestamp(max(-(-min(due) // 1000) - 1, mark // 1000))
         elif state.exists:
             state.remove()
         yield pd.DataFrame(data, columns=[f.name for f in out_schema])
@@ -146,12 +147,14 @@ class BatchMatcher:
         mark = old if top is None else top - self.delay
         if old is not None and mark < old:
             mark = old
-        ends = F.col("end_ts") <= F.lit(mark)
+        # Without any time so far nothing is decided.
+        ends = F.lit(False) if mark is None else F.col("end_ts") <= F.lit(mark)
         if old is not None:
             ends = ends & (F.col("end_ts") > F.lit(old))
         found = find(data, self.pattern, self.graph, self.by, self.ts, self.tie, self.payload, self.width, False)
         shape(found, self.graph, self.pattern).where(ends).write.mode("overwrite").parquet(f"{self.path}/matches/batch={batch_id}")
-        data.where(F.col(self.ts) > F.lit(mark - self.pattern.within_)).write.mode("overwrite").parquet(f"{self.path}/kept/batch={batch_id}")
+        kept = data if mark is None else data.where(F.col(self.ts) > F.lit(mark - self.pattern.within_))
+        kept.write.mode("overwrite").parquet(f"{self.path}/kept/batch={batch_id}")
         self.spark.createDataFrame([(mark,)], "mark timestamp").write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
 
     def matches(self) -> DataFrame:

@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
 
-# Files per micro-batch; bounds what one batch (and one key in it) can hold.
-MAX_FILES = 256
 
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """A parquet table as a stream of its files, in one micro-batch.
 
-def stream_table(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
-    """A parquet table as a stream of its files."""
+    ``max_files`` bounds the files of a micro-batch. Files come in order of their
+    modification, not of event time: with a bound, and a watermark, rows of later
+    files may be late, as on any stream that is out of order by more than its delay.
+    """
     schema = spark.read.parquet(path).schema
     # A glob matches a table kept as one file as well as one kept as a folder;
     # the plain path of a single file is refused as a stream.
     glob = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(glob)
+    stream = spark.readStream.schema(schema)
+    return (stream.option("maxFilesPerTrigger", max_files) if max_files else stream).parquet(glob)
 
 
 def stream_events(spark: SparkSession, path: str, delay: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
@@ -65,10 +65,9 @@ class LateSplit:
         self.spark = spark
 
     def watermark(self, before_batch: int):
-        try:
-            marks = self.spark.read.schema("top timestamp, batch bigint").parquet(f"{self.path}/marks")
-        except Exception:  # nothing written yet
+        if before_batch == 0:
             return None
+        marks = self.spark.read.schema("top timestamp, batch bigint").parquet(f"{self.path}/marks")
         top = marks.where(F.col("batch") < before_batch).agg(F.max("top")).first()[0]
         return None if top is None else top - self.delay
 
@@ -90,13 +89,30 @@ def processing_time(df: DataFrame, name: str = "pt") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def quality_split(df: DataFrame, text: str, parsed: Callable[[Column], Column], metric: str = "rows"):
-    """Parsed rows, with counters of good and broken ones.
+class QualitySplit:
+    """foreachBatch sink for parsed rows, with counters of good and broken ones.
 
-    Returns the stream with ``data`` (NULL when broken); counts arrive in the
-    query's progress as ``normalDataNum`` and ``dirtyDataNum``.
+    ``data`` is NULL where the text is broken. Each batch writes its rows and one
+    row of counts, taken as the rows are written; a retry overwrites both.
     """
-    out = df.withColumn("data", parsed(F.col(text)))
-    return out.observe(
-        metric, F.count(F.when(F.col("data").isNotNull(), 1)).alias("normalDataNum"),
-        F.count(F.when(F.col("data").isNull(), 1)).alias("dirtyDataNum"))
+
+    def __init__(self, spark, text: str, parsed: Callable[[Column], Column], path: str | None = None):
+        self.spark, self.text, self.parsed = spark, text, parsed
+        self.path = path or work_dir(spark, "quality")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        data = F.col("data")
+        out = batch.withColumn("data", self.parsed(F.col(self.text))).observe(
+            seen, F.count(F.when(data.isNotNull(), 1)).alias("normalDataNum"), F.count(F.when(data.isNull(), 1)).alias("dirtyDataNum"))
+        out.write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
+        counts = [(seen.get["normalDataNum"], seen.get["dirtyDataNum"])]
+        self.spark.createDataFrame(counts, "normalDataNum bigint, dirtyDataNum bigint").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}/counts/batch={batch_id}")
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.path}/rows").parquet(f"{self.path}/rows").drop("batch")
+
+    def counts(self) -> DataFrame:
+        got = self.spark.read.option("basePath", f"{self.path}/counts").parquet(f"{self.path}/counts")
+        return got.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("normalDataNum", "dirtyDataNum")])
