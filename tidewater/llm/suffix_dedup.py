@@ -297,7 +297,8 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     out = "bucket long, doc long, lo long, hi long"
     found = cut(_sorted(rows.mapInArrow(_suffix_rows, SUFFIX)).mapInArrow(_repeats, out), "suffixes")
     open_ = (found.where("bucket IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("bucket", "lo", "hi")).alias("ranges")))
-    texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(open_, "doc").select("doc", "text", "ranges")
+    # The same columns as in the last join of remove_repeats, which reuses this shuffle of the texts.
+    texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(open_, "doc").select("doc_id", "text", "ranges")
     fine = _sorted(texts.mapInArrow(_strings, SUFFIX)).mapInArrow(_repeats, out)
     return found.where("bucket IS NULL").union(fine.where("bucket IS NULL")).select("doc", "lo", "hi")
 
