@@ -60,6 +60,27 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_suffix_dedup_of_shared_phrases(spark):
+    """Phrases of 40 to 160 letters between other letters: many suffixes share a bucket, few a whole string."""
+    import random
+
+    r = random.Random(5)
+    letters = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    phrases = [letters(n) for n in (40, 55, 70, 85, 99, 100, 101, 130, 160)]
+    texts = [letters(r.randrange(30)).join(r.choices(phrases, k=12)) + letters(r.randrange(60)) for _ in range(60)]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        gone = [False] * len(t)
+        for k in range(len(t) - 99):
+            if t[k:k + 100] in seen:
+                gone[k:k + 100] = [True] * 100
+            seen.add(t[k:k + 100])
+        want[i] = (sum(gone), hashlib.sha256("".join(x for x, g in zip(t, gone, strict=True) if not g).encode()).hexdigest())
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert rows(suffix_dedup.remove_repeats(d), "n_removed", "kept_sha256") == want
+    assert 0 < sum(n for n, _ in want.values()) < sum(map(len, texts))
+
+
 def test_suffix_dedup_across_pieces(docs, monkeypatch):
     import numpy as np
 

@@ -77,13 +77,13 @@ def bucket_numbers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffixes(data: np.ndarray, off: np.ndarray):
-    """row, first string start, bucket, refined number and code of each suffix that represents strings of one row.
+    """row, first and last string start, bucket, refined number and code of each suffix that represents strings of one row.
 
     The code holds last minus first start (6 bits), suffix minus first start (6 bits),
     and 12 bits of the neighbouring buckets of each class of strings."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64), none
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     h, whole = bucket_numbers(data)
     n = len(whole)
     # The least number of the GRAM buckets within each string, by windows of doubled width.
@@ -100,7 +100,7 @@ def suffixes(data: np.ndarray, off: np.ndarray):
         valid[off[k]:off[k + 1] - LENGTH + 1] = True
     start = np.flatnonzero(valid)
     if not len(start):
-        return none, none, none.astype(np.uint64), none.astype(np.uint64), none
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     at = at[start].astype(np.int64)
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
     lo, hi = start[new], start[np.r_[new[1:] - 1, len(start) - 1]]
@@ -115,7 +115,7 @@ def suffixes(data: np.ndarray, off: np.ndarray):
     code = (hi - lo) | (anchor - lo) << 6
     for k, number in enumerate((near(GRAM), _refine(near(-GRAM // 2), near(GRAM // 2)), near(-GRAM))):
         code |= (number >> np.uint64(52)).astype(np.int64) << (12 + 12 * k)
-    return np.searchsorted(off, lo, "right") - 1, lo, h[anchor], refined, code
+    return np.searchsorted(off, lo, "right") - 1, lo, hi, h[anchor], refined, code
 
 
 def _places(ids: np.ndarray, column):
@@ -169,7 +169,7 @@ def _suffix_rows(batches):
     for batch in batches:
         ids = batch.column(0).fill_null(FIRST).to_numpy()
         for own, base, data, off in _places(ids, batch.column(1)):
-            row, lo, bucket, refined, code = suffixes(data, off)
+            row, lo, _, bucket, refined, code = suffixes(data, off)
             held.append([bucket, refined, own[row], lo - off[row] + base, code])
             count += len(row)
             if count >= PART:
