@@ -104,8 +104,7 @@ def test_rows_are_shuffled_once(ev, spark):
     assert len(wide) == 4
 
 
-def test_measured_width_bounds_the_hottest_chunk(spark, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_BYTES", 0)
+def test_measured_width_bounds_the_hottest_chunk(spark):
     d = load_events(spark, SF).withColumn("u", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
     wide = S.sequence(d, ("u",), "ts", ("event_id",))
     assert wide.width > timedelta(days=28)

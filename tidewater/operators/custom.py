@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def salted_agg(
-    df: DataFrame, keys: list[str], spread: list[str], partial: list[Column], final: list[Column], salts: int = 32,
-) -> DataFrame:
+def salted_agg(df: DataFrame, keys: list[str], partial: list[Column], final: list[Column], rows: int = 1 << 16) -> DataFrame:
     """A user aggregate in two stages, so that no group is held whole.
 
-    ``partial`` runs per (key, salt), where the salt is a hash of the ``spread``
-    columns; ``final`` combines the partial results, which are few. For Python
+    ``partial`` runs per (key, block), where a block is ``rows`` rows that follow
+    each other in one input partition, so the blocks grow in number and not in
+    size; ``final`` combines the partial results in the JVM. For Python
     aggregates Spark does not combine before the shuffle by itself.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).alias("__salt")
-    return df.groupBy(*keys, salt).agg(*partial).groupBy(*keys).agg(*final)
+    salt = F.floor(F.monotonically_increasing_id() / rows)
+    blocks = df.withColumn("__salt", salt).groupBy(*keys, "__salt").agg(*partial)
+    return blocks.groupBy(*keys).agg(*final)
 
 
 def process_window(

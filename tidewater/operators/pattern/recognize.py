@@ -151,14 +151,15 @@ def match_recognize(
     per variable (see ``first_of``, ``last_of``).
     """
     names = _variables(pattern)
-    if within is None and variants(pattern) is None:
+    vs = variants(pattern)
+    if within is None and vs is None:
         raise PatternError("a pattern with * or + needs within, which bounds its groups")
-    seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if within else None))
+    # Spelled-out patterns have no reach, so their chunks are measured.
+    seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if vs is None else None))
     d = _navigated(df, seq_, navigate or {}, pattern)
     cols = list(dict.fromkeys([order_by, *tie, *(payload or [c for c in d.columns if c not in (*partition_by, "__first", "__last")])]))
     event = F.struct(*[F.col(c) for c in cols])
     us = S.micros(within) if within else None
-    vs = variants(pattern)
     if vs is not None:
         found, slots = _spelled(d, seq_, vs, define, event, order_by, us)
     else:

@@ -49,25 +49,18 @@ class Sequence:
         return micros(width) if isinstance(width, timedelta) else float(width)
 
 
-# Below this estimated input size no (key, chunk) group can be too large for a
-# task, whatever the width, and the data is not measured.
-SMALL_BYTES = 128 << 20
 # Rows without an order value are a chunk of their own, after all others.
 NULL_CHUNK = 1 << 62
 TARGET_ROWS = 1_000_000
 
 
-def sequence(df: DataFrame, by, ts: str, tie=(), width=None, desc: bool = False, small=timedelta(days=7)) -> Sequence:
+def sequence(df: DataFrame, by, ts: str, tie=(), width=None, desc: bool = False, unit=timedelta(days=7)) -> Sequence:
     """A sequence whose chunks fit a task: with the given width, or with one
-    measured on the data when the input is not provably small."""
-    probe = Sequence(tuple(by), ts, tuple(tie), small if width is None else width, desc)
-    if width is not None or estimated_bytes(df) <= SMALL_BYTES:
-        return probe
-    return replace(probe, width=fit_width(df, probe))
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    measured on the data, at any size. ``unit`` tells by its type whether the
+    order column is a time or a number; it is the width where all rows lie at
+    one point."""
+    probe = Sequence(tuple(by), ts, tuple(tie), unit if width is None else width, desc)
+    return probe if width is not None else replace(probe, width=fit_width(df, probe))
 
 
 def fit_width(df: DataFrame, seq: Sequence, target_rows: int = TARGET_ROWS, cells: int = 1024):

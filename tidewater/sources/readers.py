@@ -80,7 +80,7 @@ def batches(df: DataFrame, order: Seq[str], size: int = 25, limit: int | None =
     rows = df.orderBy(*order).limit(limit) if limit else df
     from tidewater.operators import sequence as S
 
-    seq = S.sequence(rows, (), order[0], order[1:], small=65536.0)
+    seq = S.sequence(rows, (), order[0], order[1:], unit=65536.0)
     pos = S.positions(rows, seq, "__n")
     return S.unchunked(pos).withColumn("batch", F.floor((F.col("__n") - 1) / size)).drop("__n")
 
