@@ -494,7 +494,7 @@ def _by_user(ev):
     FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey), w2 AS (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC)""")
 def win_rank(spark, d):
     o = load(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    seq = S.sequence(o, ("o_orderstatus",), "o_totalprice", ("o_orderkey",), desc=True, small=5000.0)
+    seq = S.sequence(o, ("o_orderstatus",), "o_totalprice", ("o_orderkey",), desc=True, unit=5000.0)
     return R.ranked(o, seq, 4).select(
         "o_orderkey", "row_number", "rank", "dense_rank", F.round("percent_rank", 9).alias("percent_rank"),
         F.round("cume_dist", 9).alias("cume_dist"), c("ntile").cast("bigint").alias("ntile"))
@@ -554,7 +554,7 @@ def win_disallow_partial(spark, d):
 def win_sliding_minmax(spark, d):
     ev = load(spark, d, "events").select("event_id", "event_type", "ts", "value")
     w = S.halo_window().rowsBetween(-9, 0)
-    out = S.row_halo(ev, S.sequence(ev, ("event_type",), "ts", ("event_id",), small=timedelta(days=1)), 9)
+    out = S.row_halo(ev, S.sequence(ev, ("event_type",), "ts", ("event_id",)), 9)
     return out.select("event_id", "__own", F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi"),
                       F.first("value").over(w).alias("oldest"), F.last("value").over(w).alias("newest")).where("__own").drop("__own")
 
@@ -604,12 +604,22 @@ def set_ops_all(spark, d):
     SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'view' AND value > 20
     UNION ALL SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'error' AND value < 20""")
 def union_streams_filter(spark, d):
-    # One scan for both branches: the inputs are the same table.
-    cond = "(event_type = 'view' AND value > 20) OR (event_type = 'error' AND value < 20)"
-    return load(spark, d, "events").where(cond).select("event_id", "user_id", "event_type", "value")
+    ev = load(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    return ev.where("event_type = 'view' AND value > 20").unionAll(ev.where("event_type = 'error' AND value < 20"))
 
 
-@query("sample_bernoulli")
+@query("sample_bernoulli", """
+    SELECT l_returnflag, count(*) AS n, TRUE AS share_fits, CAST(0 AS BIGINT) AS strangers FROM lineitem GROUP BY 1""")
 def sample_bernoulli(spark, d):
-    """Rows are drawn by the engine's own generator, so there is no oracle."""
-    return load(spark, d, "lineitem").sample(fraction=0.1, seed=7).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    """The engine's own generator draws the rows, so the draw is judged: per flag, the rows of
+    the table, whether the share drawn is within five sigma of a tenth, and drawn rows that
+    the table does not hold."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+    li = load(spark, d, "lineitem").select(*key)
+    table = li.groupBy(*key).agg(F.count(F.lit(1)).alias("held"))
+    drawn = li.sample(fraction=0.1, seed=7).groupBy(*key).agg(F.count(F.lit(1)).alias("drawn"))
+    both = table.join(drawn, key, "full").groupBy("l_returnflag").agg(
+        F.coalesce(F.sum("held"), F.lit(0)).alias("n"), F.coalesce(F.sum("drawn"), F.lit(0)).alias("got"),
+        F.sum(F.greatest(F.coalesce("drawn", F.lit(0)) - F.coalesce("held", F.lit(0)), F.lit(0))).alias("strangers"))
+    fits = F.abs(c("got") - c("n") * 0.1) <= 5 * F.sqrt(c("n") * 0.09)
+    return both.select("l_returnflag", "n", fits.alias("share_fits"), "strangers")

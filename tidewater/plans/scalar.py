@@ -242,6 +242,14 @@ def udf_event_fields(spark, d):
     return ev.select("event_id", "fields", F.call_function("str_to_map", c("fields"))["k"].alias("k"))
 
 
+@query("udf_rule_text", """
+    SELECT event_id, value > 90 AS high, event_type = 'click' AND event_id % 2 = 0 AS even_click FROM events""")
+def udf_rule_text(spark, d):
+    """Rules kept as text, one column each."""
+    rules = {"high": "getValue(value) > 90", "even_click": "getValue(event_type) = 'click' AND getValue( event_id ) % 2 = 0"}
+    return load(spark, d, "events").select("event_id", *[U.rule_predicate(text).alias(name) for name, text in rules.items()])
+
+
 @query("udtf_tokens", """
     SELECT item_id, count(*) AS n, count(DISTINCT w) AS words, max(length(w)) AS longest FROM
       (SELECT item_id, unnest(regexp_split_to_array(trim(text), '\\s+')) AS w FROM benchmark) GROUP BY item_id""")

@@ -259,10 +259,21 @@ def cep_dynamic_rules(spark, d):
       FROM events WINDOW w AS (ORDER BY ts, event_id)) WHERE event_type = 'click' AND t1 = 'click' AND t2 = 'click' AND span < INTERVAL 30 MINUTE""")
 def cep_global_chunked(spark, d):
     p = begin("a").where(kind("click")).next("b").where(kind("click")).next("c").where(kind("click")).within(timedelta(minutes=30))
-    m = match(events(spark, d), p, [], "ts", ["event_id"], ["event_id"], width=DAY)
+    m = match(events(spark, d), p, [], "ts", ["event_id"], ["event_id"])
     return m.select(first_id("a"), first_id("b"))
 
 
+@query("cep_tied_times", """
+    WITH h AS (SELECT user_id, event_id, event_type, date_trunc('hour', ts) AS ts FROM events),
+         l AS (SELECT *, lead(event_id) OVER w AS id1, lead(event_type) OVER w AS t1, lead(ts) OVER w AS ts1 FROM h WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    SELECT user_id, event_id AS a_id, id1 AS b_id, ts = ts1 AS tied FROM l WHERE event_type = 'click' AND t1 = 'view'""")
+def cep_tied_times(spark, d):
+    """All events of an hour have one time; the tie column orders them."""
+    ev = events(spark, d).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    p = begin("a").where(kind("click")).next("b").where(kind("view"))
+    return find(ev, p).select("user_id", first_id("a"), first_id("b"), (c("start_ts") == c("end_ts")).alias("tied"))
+
+
 # MATCH_RECOGNIZE
 
 @query("mr_v_shape", """
@@ -332,3 +343,45 @@ def mr_anchors_exclude(spark, d):
         events(spark, d), ["user_id"], "ts", M.seq(M.AT_START, "A", M.exclude("B"), "C"), {}, {},
         tie=["event_id"], rows_per_match="all", payload=["event_id"])
     return m.select("user_id", "classifier", "event_id")
+
+
+@query("mr_end_anchor", """
+    WITH o AS (SELECT user_id, event_id, row_number() OVER w AS r, lead(event_id) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts DESC, event_id DESC))
+    SELECT user_id, before AS a_id, event_id AS b_id FROM o WHERE r = 1 AND before IS NOT NULL""")
+def mr_end_anchor(spark, d):
+    m = M.match_recognize(
+        events(spark, d), ["user_id"], "ts", M.seq("A", "B", M.AT_END), {}, {"a_id": M.first_of("A", "event_id"), "b_id": M.first_of("B", "event_id")},
+        tie=["event_id"], payload=["event_id"])
+    return m.select("user_id", "a_id", "b_id")
+
+
+@query("mr_next_row", """
+    SELECT user_id, event_id, round(after - value, 4) AS rise FROM (SELECT *, lead(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS after FROM events) WHERE after > value + 60""")
+def mr_next_row(spark, d):
+    m = M.match_recognize(
+        events(spark, d, "value"), ["user_id"], "ts", M.var("A"), {"A": "after > value + 60"},
+        {"event_id": M.first_of("A", "event_id"), "rise": f"round({M.first_of('A', 'after')} - {M.first_of('A', 'value')}, 4)"},
+        tie=["event_id"], navigate={"after": ("value", -1)}, payload=["event_id", "value", "after"])
+    return m.select("user_id", "event_id", "rise")
+
+
+_FOUR_CLICKS = f"""SELECT user_id, event_id AS a_id, ts AS t0, ts2 AS t2, id3 AS d_id FROM ({_LEADS})
+    WHERE event_type = 'click' AND t1 = 'click' AND t2 = 'click' AND t3 = 'click'"""
+
+
+def _four_clicks(spark, d, skip):
+    m = M.match_recognize(
+        events(spark, d), ["user_id"], "ts", M.seq("A", "B", M.var("C").times(2)), dict.fromkeys("ABC", kind("click")),
+        {"a_id": M.first_of("A", "event_id"), "d_id": M.last_of("C", "event_id")}, tie=["event_id"], after_match=skip, payload=["event_id"])
+    return m.select("user_id", "a_id", "d_id")
+
+
+@query("mr_skip_to_first", _greedy_chain(_FOUR_CLICKS, "n.t0 >= o.t2") + "SELECT m.user_id, m.a_id, m.d_id FROM r JOIN m USING (a_id)")
+def mr_skip_to_first(spark, d):
+    return _four_clicks(spark, d, Skip("to_first", "C"))
+
+
+# The row after the first C is the last C.
+@query("mr_skip_to_last", _greedy_chain(_FOUR_CLICKS, "n.t0 > o.t2") + "SELECT m.user_id, m.a_id, m.d_id FROM r JOIN m USING (a_id)")
+def mr_skip_to_last(spark, d):
+    return _four_clicks(spark, d, Skip("to_last", "C"))

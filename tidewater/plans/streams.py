@@ -136,6 +136,26 @@ def stream_late_split(spark, d):
     return rows.groupBy("late").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total"))
 
 
+@query("stream_late_count", f"""
+    WITH {_SLICES} SELECT CAST(slice AS BIGINT) AS batch, count(*) AS n FROM a JOIN w USING (slice) WHERE ts <= mark GROUP BY 1""")
+def stream_late_count(spark, d):
+    split = W.LateSplit(spark, "ts", HOUR)
+    run_slices(spark, _slices(spark, d), lambda s, ck: each_batch(s, split, checkpoint=ck))
+    return split.late_counts()
+
+
+@query("stream_side_outputs", """
+    SELECT 'all' AS output, count(*) AS n, sum(event_id) AS ids FROM events
+    UNION ALL SELECT 'error', count(*), sum(event_id) FROM events WHERE event_type = 'error'
+    UNION ALL SELECT 'high', count(*), sum(event_id) FROM events WHERE value > 90""")
+def stream_side_outputs(spark, d):
+    """A main output with every row and two side outputs that overlap."""
+    sink = W.SideOutputs(spark, {"all": F.lit(True), "error": c("event_type") == "error", "high": c("value") > 90})
+    each_batch(stream_table(spark, path(d)).select("event_id", "event_type", "value"), sink)
+    parts = [sink.rows(tag).agg(F.lit(tag).alias("output"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")) for tag in sink.outputs]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @query("stream_retract", f"""
     WITH {_SLICES}, t AS (SELECT user_id, k AS slice, count(*) AS n FROM a JOIN (SELECT unnest([0, 1, 2]) AS k) ON a.slice <= k GROUP BY 1, 2),
          p AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY slice) AS o FROM t)

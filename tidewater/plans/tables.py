@@ -87,7 +87,7 @@ def udaf_salted(spark, d):
 
     ev = load(spark, d, "events").select("event_id", "event_type", "value")
     return custom.salted_agg(
-        ev, ["event_type"], ["event_id"], [squares("value").alias("s")], [F.round(F.sum("s"), 4).alias("squares")]).join(
+        ev, ["event_type"], [squares("value").alias("s")], [F.round(F.sum("s"), 4).alias("squares")]).join(
         ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "event_type").select("event_type", "n", "squares")
 
 

@@ -83,6 +83,31 @@ class LateSplit:
         got = self.spark.read.option("basePath", f"{self.path}/rows").parquet(f"{self.path}/rows")
         return got.where(F.col("late") == late).drop("late")
 
+    def late_counts(self) -> DataFrame:
+        """Counter of late rows: ``batch`` and ``n`` of each batch that had any."""
+        return self.rows(True).groupBy(F.col("batch").cast("long").alias("batch")).agg(F.count(F.lit(1)).alias("n"))
+
+
+class SideOutputs:
+    """foreachBatch sink with several outputs from one pass.
+
+    ``outputs`` maps a tag to the condition under which a row goes there; a row
+    may go to several outputs or to none. Each batch writes its own folder,
+    split by tag, and a retry overwrites it.
+    """
+
+    def __init__(self, spark, outputs: dict[str, Column], path: str | None = None):
+        self.spark, self.outputs = spark, outputs
+        self.path = path or work_dir(spark, "outputs")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        tags = F.array_compact(F.array(*[F.when(cond, F.lit(tag)) for tag, cond in self.outputs.items()]))
+        batch.withColumn("output", F.explode(tags)).write.mode("overwrite").partitionBy("output").parquet(f"{self.path}/batch={batch_id}")
+
+    def rows(self, tag: str) -> DataFrame:
+        got = self.spark.read.option("basePath", self.path).parquet(self.path)
+        return got.where(F.col("output") == tag).drop("output", "batch")
+
 
 def processing_time(df: DataFrame, name: str = "pt") -> DataFrame:
     """Processing-time column; all rows of a micro-batch share it."""
