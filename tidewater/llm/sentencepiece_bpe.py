@@ -20,6 +20,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ SPACE = "▁"
 CACHED = 1 << 18
 #: Chunks with more symbols than this use a heap, not rounds over many chunks.
 LONG = 48
-#: Characters of text tokenized at once.
-PART_CHARS = 1 << 20
+#: Characters of text tokenized at once, chunks looked up and chunks merged together.
+PART_CHARS, HELD, TOGETHER = 1 << 20, 1 << 18, 1 << 13
 
 _loaded: dict[str, Encoder] = {}
 
@@ -63,6 +64,9 @@ class Encoder:
             for c in p:
                 if c not in self.char:
                     self.char[c] = n + 2 + len(self.char)
+        self.symbol = np.full(0x110000, n + 1, np.int32)
+        for c, i in self.char.items():
+            self.symbol[ord(c)] = i
         known = pieces | self.char
         pairs = {}
         for p, i in pieces.items():
@@ -113,11 +117,12 @@ class Encoder:
         return np.where(hit, self.scores[at], -np.inf).astype(np.float32), np.where(hit, self.merged[at], 0)
 
     # Many short chunks at once: every round takes the best pair of each chunk's agenda.
-    def rounds(self, chunks: list[list[int]]) -> list[list[int]]:
+    def rounds(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the chunk and symbol, in order."""
         size = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        sym = np.fromiter((s for c in chunks for s in c), np.int64, int(size.sum()))
+        sym = self.symbol[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)].astype(np.int64)
         own = np.repeat(np.arange(len(chunks)), size)
-        done: list[list[int] | None] = [None] * len(chunks)
+        done = [(own[:0], sym[:0])]
         score, into = np.full(len(sym), -np.inf, np.float32), np.zeros(len(sym), np.int64)
 
         def price(at: np.ndarray) -> None:
@@ -133,18 +138,20 @@ class Encoder:
             best = np.maximum.reduceat(score, first)
             length = np.diff(np.r_[first, len(sym)])
             over = best == -np.inf
-            for k in np.flatnonzero(over):
-                done[own[first[k]]] = sym[first[k]:first[k] + length[k]].tolist()
+            goes_on = ~np.repeat(over, length)
+            done.append((own[~goes_on], sym[~goes_on]))
             # The leftmost pair of the best score in each chunk that goes on.
-            place = np.flatnonzero((score == np.repeat(best, length)) & ~np.repeat(over, length))
+            place = np.flatnonzero((score == np.repeat(best, length)) & goes_on)
             place = place[np.r_[True, own[place][1:] != own[place][:-1]]] if len(place) else place
             sym[place] = into[place]
-            keep = ~np.repeat(over, length)
+            keep = goes_on
             keep[place + 1] = False
             moved = (np.cumsum(keep) - 1)[place]
             sym, own, score, into = sym[keep], own[keep], score[keep], into[keep]
             price(np.r_[moved - 1, moved])
-        return done  # type: ignore[return-value]
+        own, sym = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(own, kind="stable")
+        return own[order], sym[order]
 
     def _symbols(self, chunk: str) -> list[int]:
         get, other = self.char.get, self.size + 1
@@ -161,25 +168,42 @@ class Encoder:
             at += k
         return out
 
-    def learn(self, chunks: list[str], check: bool) -> None:
+    def learn(self, chunks: list[str], check: bool) -> dict[str, bytes]:
         """Encode chunks not met before, and hold them against the library."""
-        sym = [self._symbols(c) for c in chunks]
-        short = [k for k, s in enumerate(sym) if len(s) <= LONG]
-        for k, out in zip(short, self.rounds([sym[k] for k in short]), strict=True):
-            sym[k] = out
-        for k, s in enumerate(sym):
-            if len(chunks[k]) > LONG:
-                sym[k] = self.agenda(s)
-        ids = [self._ids(c, s) for c, s in zip(chunks, sym, strict=True)]
+        short = [c for c in chunks if len(c) <= LONG]
+        own, sym = self.rounds(short)
+        end = np.cumsum(np.bincount(own, minlength=len(short)))
+        whole, at = sym.astype("<u4").tobytes(), 0
+        out = {}
+        for c, stop in zip(short, (end * 4).tolist(), strict=True):
+            out[c] = whole[at:stop]
+            at = stop
+        # Byte pieces, and chunks with an agenda of their own.
+        slow = {short[k]: sym[end[k - 1] if k else 0:end[k]].tolist() for k in np.unique(own[sym >= self.size]).tolist()}
+        slow |= {c: self.agenda(self._symbols(c)) for c in chunks if len(c) > LONG}
+        for c, found in slow.items():
+            ids = self._ids(c, found)
+            out[c] = struct.pack(f"<{len(ids)}I", *ids)
         if check:
             # The library puts the leading space back itself.
-            theirs = self.lib.encode([c[1:] if c[0] == SPACE else c for c in chunks], num_threads=1)
-            for c, mine, other in zip(chunks, ids, theirs, strict=True):
-                if c[0] == SPACE and len(c) > 1 and mine != other:
-                    raise ValueError(f"encoding differs from the library for {c[:80]!r}")
+            tested = [c for c in chunks if c[0] == SPACE and len(c) > 1]
+            theirs = self.lib.encode([c[1:] for c in tested], num_threads=1)
+            flat = np.fromiter(chain.from_iterable(theirs), "<u4").tobytes()
+            if b"".join([out[c] for c in tested]) != flat:
+                wrong = next((c for c, ids in zip(tested, theirs, strict=True) if out[c] != struct.pack(f"<{len(ids)}I", *ids)), "")
+                raise ValueError(f"encoding differs from the library for {wrong[:80]!r}")
+        return out
+
+    def meet(self, chunks: set[str], check: bool) -> None:
+        """Bring distinct chunks into the new generation, from the old one or by learning them."""
         if len(self.new) + len(chunks) > CACHED:
             self.old, self.new = self.new, {}
-        self.new.update((c, struct.pack(f"<{len(i)}I", *i)) for c, i in zip(chunks, ids, strict=True))
+        rest = chunks.difference(self.new)
+        met = rest.intersection(self.old)
+        self.new.update(zip(met, map(self.old.__getitem__, met), strict=True))
+        missing = list(rest - met)
+        for lo in range(0, len(missing), TOGETHER):
+            self.new |= self.learn(missing[lo:lo + TOGETHER], check)
 
     def _parts(self, text: str) -> Iterator[list[str]]:
         """The chunks of a text, some at a time."""
@@ -203,36 +227,25 @@ class Encoder:
 
     def encode(self, texts: list[str], check: bool = True) -> list[bytes]:
         """Ids of each text as little-endian numbers of 32 bits, begin and end ids included."""
-        out = []
-        for text in texts:
-            ids = [self.begin]
-            for chunks in self._parts(text) if text else ():
-                got = list(map(self.new.get, chunks))
-                if None in got:
-                    rest = {c for c, g in zip(chunks, got, strict=True) if g is None}
-                    known = {c: self.old[c] for c in rest if c in self.old}
-                    if missing := list(rest - known.keys()):
-                        self.learn(missing, check)
-                        known |= {c: self.new[c] for c in missing}
-                    if len(self.new) + len(known) <= CACHED:
-                        self.new.update(known)
-                    got = [known[c] if g is None else g for c, g in zip(chunks, got, strict=True)]
-                ids += got
-            ids.append(self.end)
-            out.append(b"".join(ids))
-        return out
+        out = [[self.begin] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        count = 0
+
+        def flush() -> None:
+            self.meet(set().union(*[chunks for _, chunks in held]), check)
+            for k, chunks in held:
+                out[k].append(b"".join(map(self.new.__getitem__, chunks)))
+            held.clear()
 
-    def warm(self, texts: list[str], check: bool) -> None:
-        """Learn the unknown chunks of a batch together, as many as the cache can hold."""
-        new: set[str] = set()
-        for text in texts:
+        for k, text in enumerate(texts):
             for chunks in self._parts(text) if text else ():
-                new.update(c for c in chunks if c not in self.new and c not in self.old)
-            if len(new) > CACHED // 4:
-                self.learn(list(new), check)
-                new = set()
-        if new:
-            self.learn(list(new), check)
+                held.append((k, chunks))
+                count += len(chunks)
+                if count >= HELD:
+                    flush()
+                    count = 0
+        flush()
+        return [b"".join([*ids, self.end]) for ids in out]
 
     def decode(self, ids: list[bytes]) -> list[str]:
         return self.lib.decode([np.frombuffer(x, "<u4").tolist() for x in ids])
@@ -262,7 +275,6 @@ def encode(df: DataFrame, model: str, text: str = "text", keep: tuple[str, ...]
             texts = pc.fill_null(batch.column(len(keep)), "").to_pylist()
             for lo in range(0, len(texts), 1000):
                 some = texts[lo:lo + 1000]
-                enc.warm(some, check)
                 ids = enc.encode(some, check)
                 back = enc.decode(ids) if decode else [None] * len(ids)
                 own = batch.slice(lo, len(some))
