@@ -207,6 +207,44 @@ def test_leaks(docs, none, spark):
     assert decontaminate.leaks(none, bench).count() == 0 and decontaminate.leaks(d, bench.where("false")).count() == 0
 
 
+def test_leaks_of_copies_only(spark):
+    """Every item occurs only as an edited or partial copy, or edited beside exact copies: the same as aligning all with all."""
+    import random
+
+    r = random.Random(11)
+    word = lambda: f"w{r.randrange(4000)}"
+    items = [[word() for _ in range(r.randint(24, 60))] for _ in range(24)]
+    texts = []
+    for i, w in enumerate(items):
+        prose = lambda: [word() for _ in range(r.randint(0, 120))]
+        if i % 4 == 3:
+            # Seven tenths, or the first six tenths with a word put in.
+            copy = w[len(w) // 5:len(w) // 5 + len(w) * 7 // 10] if i % 8 == 3 else [*w[:len(w) // 3], "more", *w[len(w) // 3:len(w) * 6 // 10 + 2]]
+        else:
+            copy = [x if j % (4 + i % 3) else f"new{k}x{j}" for j, x in enumerate(w)]
+        texts.append(prose() + copy + prose())
+        if i % 4 == 2:
+            # Exact copies: what the edited one lacks is rarer than what it shares.
+            texts += [prose() + w + prose() for _ in range(3)]
+    texts += [[word() for _ in range(80)] for _ in range(20)]
+    want = {}
+    for d, t in enumerate(texts):
+        for i, w in enumerate(items):
+            above, best = [0.0] * (len(t) + 1), 0.0
+            for x in w:
+                now = [0.0]
+                for j, y in enumerate(t):
+                    now.append(max(0.0, above[j] + (1 if x == y else -0.5), above[j + 1] - 0.5, now[j] - 0.5))
+                best, above = max(best, *now), now
+            if best >= 0.5 * len(w):
+                want[d, i] = best / len(w)
+    assert len(want) >= 24 and {i for _, i in want} == set(range(24))
+    d = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.score for x in decontaminate.leaks(d, bench).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_alignment_is_smith_waterman():
     import random
 

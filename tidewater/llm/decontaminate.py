@@ -2,10 +2,14 @@
 
 Texts are words of letters and digits in lower case. Every document is searched for the
 n-grams of the test items; their document frequencies over the whole corpus decide which
-n-grams of an item are its seeds (the rarer half, so a passage that is everywhere keeps
-seeds too). A document with ``min_seeds`` seeds of an item near one another is aligned
-with the item around them; the local alignment score over the best possible one says how
-much of the item the passage holds, also when words were changed, added or left out.
+n-grams of an item are its seeds: those that some document holds, but for stock phrases
+(in more than ``RARE`` documents and more than ``SHARED`` different items) that are more
+frequent than the middle one of the item's n-grams that occur. So an edited or partial copy
+has all its n-grams as seeds, also where other copies of the item make them frequent.
+A document with ``min_seeds`` seeds of an item near one another is aligned with the item
+around them, unless too few of the item's words are there at all; the local alignment score
+over the best possible one says how much of the item the passage holds, also when words were
+changed, added or left out. A copy that keeps fewer seeds than ``min_seeds`` is not found.
 
 The test items go to the tasks in blocks of at most ``BLOCK_ITEMS``, each with one search
 of the corpus, so any number of items is done and no block grows with it.
@@ -31,6 +35,8 @@ MIN_SCORE = 0.5
 GAP = MISS = 0.5
 #: Test items that are searched for at once.
 BLOCK_ITEMS = 20_000
+#: Documents and different items up to which an n-gram is no stock phrase.
+RARE, SHARED = 1000, 8
 
 
 def tokens(column):
@@ -64,6 +70,7 @@ class Items:
         self.unique, self.first = np.unique(self.grams, return_index=True)
         self.first = np.r_[self.first, len(self.grams)]
         self.seed = np.ones(len(self.grams), bool)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
         self._filter()
 
     def _filter(self) -> None:
@@ -79,19 +86,30 @@ class Items:
         return at[hit], k[hit]
 
     def choose(self, df: np.ndarray) -> None:
-        """Seeds: of each item the n-grams at most as frequent as its middle one."""
-        each = np.repeat(df, np.diff(self.first))
-        for k in range(len(self.ids)):
-            own = np.flatnonzero(self.item == k) if len(self.ids) < 64 else self._of(k)
-            self.seed[own] = each[own] <= np.median(each[own]) if len(own) else False
+        """Seeds: of each item the n-grams that occur, without stock phrases above its middle one."""
+        entry = np.repeat(np.arange(len(self.unique)), np.diff(self.first))
+        each = df[entry]
+        self.seed = each > 0
+        stock = self.seed & (each > RARE) & (self._holders(entry)[entry] > SHARED)
+        for k in np.unique(self.item[stock]):
+            own = self._of(k)
+            own = own[self.seed[own]]
+            self.seed[own] = ~stock[own] | (each[own] <= np.median(each[own]))
         keep = np.zeros(len(self.unique), bool)
-        keep[np.repeat(np.arange(len(self.unique)), np.diff(self.first))[self.seed]] = True
+        keep[entry[self.seed]] = True
         order = np.flatnonzero(self.seed)
         self.grams, self.item, self.place = self.grams[order], self.item[order], self.place[order]
         self.unique = self.unique[keep]
         self.first = np.r_[np.searchsorted(self.grams, self.unique), len(self.grams)]
         self._filter()
 
+    def _holders(self, entry: np.ndarray) -> np.ndarray:
+        """Different items that hold each n-gram; equal ones count once."""
+        known: dict[bytes, int] = {}
+        same = np.array([known.setdefault(w.tobytes(), len(known)) for w in self.words], np.int64)
+        pairs = np.unique(entry * max(1, len(known)) + same[self.item]) // max(1, len(known))
+        return np.bincount(pairs, minlength=len(self.unique))
+
     def _of(self, k: int) -> np.ndarray:
         if not hasattr(self, "_order"):
             self._order = np.argsort(self.item, kind="stable")
@@ -127,20 +145,30 @@ def matches(items: Items, h: np.ndarray, row: np.ndarray, rows: int, min_seeds:
     order = np.lexsort((pos, item, row[pos]))
     pos, item, place = pos[order], item[order], place[order]
     begin = ranges(row, rows)
-    lo = 0
-    while lo < len(pos):
-        # Seeds of one item in one document, each within an item's length of the one before.
-        size, hi = len(items.words[item[lo]]), lo + 1
-        while hi < len(pos) and item[hi] == item[lo] and row[pos[hi]] == row[pos[lo]] and pos[hi] - pos[hi - 1] <= size:
-            hi += 1
-        if len(set(place[lo:hi].tolist())) >= min(min_seeds, max(1, size - items.n + 1)):
-            doc = row[pos[lo]]
-            a = max(begin[doc], pos[lo] - size - size // 2)
-            b = min(begin[doc + 1], pos[hi - 1] + size + size // 2)
-            best, end = align(items.words[item[lo]], h[a:b])
-            if best >= min_score * size:
-                yield int(doc), items.ids[item[lo]], best / size, hi - lo, int(a + end - begin[doc] - min(end, size)), int(a + end - begin[doc])
-        lo = hi
+    if not len(pos):
+        return
+    # Seeds of one item in one document, each within an item's length of the one before.
+    sizes = items.sizes[item]
+    new = np.r_[True, (item[1:] != item[:-1]) | (row[pos[1:]] != row[pos[:-1]]) | (pos[1:] - pos[:-1] > sizes[1:])]
+    start = np.flatnonzero(new)
+    stop = np.r_[start[1:], len(pos)]
+    # Seeds at different places of the item.
+    cluster = np.cumsum(new) - 1
+    seen = np.unique(cluster * (int(place.max()) + 1) + place) // (int(place.max()) + 1)
+    enough = np.bincount(seen, minlength=len(start)) >= np.minimum(min_seeds, np.maximum(1, sizes[start] - items.n + 1))
+    for lo, hi in zip(start[enough].tolist(), stop[enough].tolist(), strict=True):
+        size, own = int(sizes[lo]), items.words[item[lo]]
+        doc = row[pos[lo]]
+        # Words beside those of the item cost GAP each, so a passage that scores enough is no longer.
+        reach = int(size * (1 + (1 - min_score) / GAP))
+        a = max(begin[doc], pos[lo] - reach)
+        b = min(begin[doc + 1], pos[hi - 1] + items.n + reach)
+        # No alignment has more matches than the item has words that are there.
+        if np.isin(own, h[a:b]).sum() < min_score * size:
+            continue
+        best, end = align(own, h[a:b])
+        if best >= min_score * size:
+            yield int(doc), items.ids[item[lo]], best / size, hi - lo, int(a + end - begin[doc] - min(end, size)), int(a + end - begin[doc])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE,
