@@ -81,6 +81,33 @@ def test_suffix_dedup_of_shared_phrases(spark):
     assert 0 < sum(n for n, _ in want.values()) < sum(map(len, texts))
 
 
+def test_suffix_dedup_of_texts_with_one_id(spark):
+    """Null and repeated ids with texts of several lengths: each keeps what is its own, and of each repeat one stays."""
+    import random
+
+    r = random.Random(9)
+    letters = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    shared, twin = letters(130), letters(400)
+    table = [(None, letters(700) + shared + letters(300)), (None, shared + letters(20)), (None, letters(40) + shared), (None, "short"), (None, None),
+             (5, shared + letters(50)), (5, letters(900) + shared), (5, twin), (5, twin), (7, twin + "x"), (8, letters(300))]
+    # Texts of one id with a repeat at the same offset.
+    table += [(9, (head := letters(150)) + letters(250)), (9, head + letters(60)), (None, (tail := letters(120)) + "b"), (None, tail + "c" * 80)]
+    d = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    tag = {(x.doc_id, x.text): x.tag for x in d.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("tag")).collect()}
+    seen, want = set(), Counter()
+    own = Counter((i, t or "") for i, t in table)
+    for i, t in sorted(own, key=lambda x: (x[0] is not None, x[0] or 0, tag[x])):
+        gone = [False] * len(t)
+        for k in range(len(t) - 99):
+            if t[k:k + 100] in seen:
+                gone[k:k + 100] = [True] * 100
+            seen.add(t[k:k + 100])
+        want[i, len(t), sum(gone), hashlib.sha256("".join(x for x, g in zip(t, gone, strict=True) if not g).encode()).hexdigest()] += own[i, t]
+    got = suffix_dedup.remove_repeats(d).collect()
+    assert Counter((x.doc_id, x.n_bytes, x.n_removed, x.kept_sha256) for x in got) == want
+    assert sum(k[2] > 0 for k in want) == 7
+
+
 def test_suffix_dedup_across_pieces(docs, monkeypatch):
     import numpy as np
 

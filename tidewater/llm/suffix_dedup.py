@@ -1,7 +1,7 @@
 """Removal of repeated strings by bucket-pointer refinement over sampled suffixes.
 
 A byte is removed if a string of ``length`` bytes covers it that also starts earlier: in a
-document with a smaller id, or earlier in the same document. Strings are judged on the
+document with a smaller id (or tag, below), or earlier in the same document. Strings are judged on the
 input, overlaps count, and matches never cross documents.
 
 Suffixes are sorted by their first bytes into q-gram buckets, and a bucket is refined by
@@ -26,9 +26,10 @@ tasks:
 Equal suffixes of one part of the input are reduced to the first before the shuffle, so a
 string that is everywhere sends at most one row from each part.
 
-Null texts are empty; texts shorter than ``length`` lose nothing. Rows of one id are one
-document: equal rows give equal results. Null ids come before all others. An empty table
-gives an empty result. Further columns are dropped.
+Null texts are empty; texts shorter than ``length`` lose nothing. Rows of one id and one
+text are one document, so equal rows give equal results; other texts of that id, or of the
+null id, are documents of their own, in the order of a hash (``tag``) of id and text. Null
+ids come before all others. An empty table gives an empty result. Further columns are dropped.
 """
 
 from __future__ import annotations
@@ -140,8 +141,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 #: Rows that are decided have no refined number, any bucket, and last minus first start as code.
-SUFFIX = "bucket long, refined long, doc long, lo long, code long"
-NAMES = ["bucket", "refined", "doc", "lo", "code"]
+SUFFIX = "bucket long, refined long, doc long, tag long, lo long, code long"
+NAMES = ["bucket", "refined", "doc", "tag", "lo", "code"]
 #: Least and greatest k of the three classes of strings.
 CLASSES = ((0, 19), (20, 39), (40, 60))
 
@@ -152,25 +153,25 @@ def _suffix_rows(batches):
     count = 0
 
     def reduced():
-        bucket, refined, doc, lo, code = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((lo, doc, refined, bucket))
-        bucket, refined, doc, lo, code = bucket[order], refined[order], doc[order], lo[order], code[order]
+        bucket, refined, doc, tag, lo, code = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((lo, tag, doc, refined, bucket))
+        bucket, refined, doc, tag, lo, code = bucket[order], refined[order], doc[order], tag[order], lo[order], code[order]
         first = np.r_[True, (bucket[1:] != bucket[:-1]) | (refined[1:] != refined[:-1])]
         head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
         # The same place again (an equal row) is no repeat.
-        own = (doc == doc[head]) & (lo == lo[head])
+        own = (doc == doc[head]) & (tag == tag[head]) & (lo == lo[head])
         lone = ~own
         keep = own & first
-        d, a, b = _joined(doc[lone], lo[lone], lo[lone] + (code[lone] & 63))
+        found = _joined(doc[lone], tag[lone], lo[lone], lo[lone] + (code[lone] & 63))
         yield pa.RecordBatch.from_arrays([pa.array(_signed(bucket[keep])), pa.array(_signed(refined[keep])),
-                                          pa.array(doc[keep]), pa.array(lo[keep]), pa.array(code[keep])], names=NAMES)
-        yield _decided(d, a, b)
+                                          pa.array(doc[keep]), pa.array(tag[keep]), pa.array(lo[keep]), pa.array(code[keep])], names=NAMES)
+        yield _decided(*found)
 
     for batch in batches:
-        ids = batch.column(0).fill_null(FIRST).to_numpy()
-        for own, base, data, off in _places(ids, batch.column(1)):
+        docs, tags = batch.column(0).fill_null(FIRST).to_numpy(), batch.column(2).to_numpy()
+        for own, base, data, off in _places(np.arange(batch.num_rows), batch.column(1)):
             row, lo, _, bucket, refined, code = suffixes(data, off)
-            held.append([bucket, refined, own[row], lo - off[row] + base, code])
+            held.append([bucket, refined, docs[own[row]], tags[own[row]], lo - off[row] + base, code])
             count += len(row)
             if count >= PART:
                 yield from reduced()
@@ -179,20 +180,20 @@ def _suffix_rows(batches):
         yield from reduced()
 
 
-def _decided(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+def _decided(doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
     # Their bucket only spreads them over tasks.
-    return pa.RecordBatch.from_arrays([pa.array(doc * 1_000_003 + lo), pa.nulls(len(doc), pa.int64()), pa.array(doc), pa.array(lo), pa.array(hi - lo)], names=NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(tag + lo), pa.nulls(len(doc), pa.int64()), *(pa.array(x) for x in (doc, tag, lo, hi - lo))], names=NAMES)
 
 
-def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+def _joined(doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, hi: np.ndarray):
     """Ranges of one document that touch, as one."""
     if not len(doc):
-        return doc, lo, hi
-    order = np.lexsort((lo, doc))
-    doc, lo, hi = doc[order], lo[order], hi[order]
+        return doc, tag, lo, hi
+    order = np.lexsort((lo, tag, doc))
+    doc, tag, lo, hi = doc[order], tag[order], lo[order], hi[order]
     # Ranges of a part never overlap.
-    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)])
-    return doc[new], lo[new], hi[np.r_[new[1:] - 1, len(hi) - 1]]
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (lo[1:] != hi[:-1] + 1)])
+    return doc[new], tag[new], lo[new], hi[np.r_[new[1:] - 1, len(hi) - 1]]
 
 
 def _common(group: np.ndarray, lo: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,25 +213,25 @@ def _common(group: np.ndarray, lo: np.ndarray, code: np.ndarray) -> tuple[np.nda
 def _repeats(batches):
     """Rows sorted by bucket, refined number and place: the ranges that repeat (no bucket), and
     what the first suffixes of buckets with several refined numbers may share."""
-    last: tuple | None = None  # first row of the refined bucket that is open: bucket, refined, doc, lo, code
+    last: tuple | None = None  # first row of the refined bucket that is open: bucket, refined, doc, tag, lo, code
     several = False
     for batch in batches:
-        bucket, refined, doc, lo, code = (c.fill_null(0).to_numpy() for c in batch.columns)
+        bucket, refined, doc, tag, lo, code = (c.fill_null(0).to_numpy() for c in batch.columns)
         decided = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-        yield _ranges(None, doc[decided], lo[decided], lo[decided] + code[decided])
+        yield _ranges(None, doc[decided], tag[decided], lo[decided], lo[decided] + code[decided])
         live = ~decided
-        bucket, refined, doc, lo, code = bucket[live], refined[live], doc[live], lo[live], code[live]
+        bucket, refined, doc, tag, lo, code = bucket[live], refined[live], doc[live], tag[live], lo[live], code[live]
         n = len(bucket)
         if not n:
             continue
         if last is not None:
-            bucket, refined, doc, lo, code = (np.r_[np.array([x], c.dtype), c] for x, c in zip(last, (bucket, refined, doc, lo, code), strict=True))
+            bucket, refined, doc, tag, lo, code = (np.r_[np.array([x], c.dtype), c] for x, c in zip(last, (bucket, refined, doc, tag, lo, code), strict=True))
         other = np.r_[True, bucket[1:] != bucket[:-1]]
         first = other | np.r_[True, refined[1:] != refined[:-1]]
         at = np.arange(len(bucket))
         head = np.maximum.accumulate(np.where(first, at, 0))
-        repeat = (doc != doc[head]) | (lo != lo[head])
-        yield _ranges(None, doc[repeat], lo[repeat], lo[repeat] + (code[repeat] & 63))
+        repeat = (doc != doc[head]) | (tag != tag[head]) | (lo != lo[head])
+        yield _ranges(None, doc[repeat], tag[repeat], lo[repeat], lo[repeat] + (code[repeat] & 63))
         # Heads of refined buckets; the last one stays open until its bucket's end is seen.
         heads = np.flatnonzero(first)
         group = np.cumsum(other[heads])
@@ -245,26 +246,26 @@ def _repeats(batches):
         if several:
             part |= group == group[0]
         send = heads[mixed & part & (heads != closing)]
-        yield _ranges(bucket[send], doc[send], lo[send], lo[send] + (code[send] & 63))
+        yield _ranges(bucket[send], doc[send], tag[send], lo[send], lo[send] + (code[send] & 63))
         send, own = heads[mixed & ~part], group[mixed & ~part]
         a, b = _common(own, lo[send], code[send])
         send, a, b = send[a <= b], a[a <= b], b[a <= b]
-        yield _ranges(bucket[send], doc[send], a, b)
+        yield _ranges(bucket[send], doc[send], tag[send], a, b)
         several = bool(mixed[-1])
-        last = (bucket[closing], refined[closing], doc[closing], lo[closing], code[closing])
+        last = (bucket[closing], refined[closing], doc[closing], tag[closing], lo[closing], code[closing])
     if last is not None and several:
-        yield _ranges(*(np.array([x]) for x in (last[0], last[2], last[3], last[3] + (last[4] & 63))))
+        yield _ranges(*(np.array([x]) for x in (last[0], last[2], last[3], last[4], last[4] + (last[5] & 63))))
 
 
-def _ranges(bucket, doc, lo, hi) -> pa.RecordBatch:
+def _ranges(bucket, doc, tag, lo, hi) -> pa.RecordBatch:
     bucket = pa.nulls(len(doc), pa.int64()) if bucket is None else pa.array(bucket, pa.int64())
-    return pa.RecordBatch.from_arrays([bucket, *(pa.array(x, pa.int64()) for x in (doc, lo, hi))], names=["bucket", "doc", "lo", "hi"])
+    return pa.RecordBatch.from_arrays([bucket, *(pa.array(x, pa.int64()) for x in (doc, tag, lo, hi))], names=["bucket", "doc", "tag", "lo", "hi"])
 
 
 def _strings(batches):
     """Number and place of each string of the ranges given; equal ones of a batch only once, the others as decided."""
     for batch in batches:
-        ids = batch.column(0).fill_null(FIRST).to_numpy()
+        ids, tags = batch.column(0).fill_null(FIRST).to_numpy(), batch.column(3).to_numpy()
         lists = batch.column(2).to_pylist()
         held = []
         data, off = flat(batch.column(1))
@@ -272,42 +273,43 @@ def _strings(batches):
             text = data[off[k]:off[k + 1]]
             for r in found:
                 _, whole = bucket_numbers(text[r["lo"]:r["hi"] + LENGTH])
-                held.append((whole[:r["hi"] - r["lo"] + 1], np.full(r["hi"] - r["lo"] + 1, ids[k]), np.arange(r["lo"], r["hi"] + 1),
+                held.append((whole[:r["hi"] - r["lo"] + 1], np.full(r["hi"] - r["lo"] + 1, ids[k]), np.full(r["hi"] - r["lo"] + 1, tags[k]), np.arange(r["lo"], r["hi"] + 1),
                              np.full(r["hi"] - r["lo"] + 1, r["bucket"] & 0xFFFFFFFF)))
         if not held:
             continue
-        number, doc, lo, bucket = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((lo, doc, number, bucket))
-        number, doc, lo, bucket = number[order], doc[order], lo[order], bucket[order]
+        number, doc, tag, lo, bucket = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((lo, tag, doc, number, bucket))
+        number, doc, tag, lo, bucket = number[order], doc[order], tag[order], lo[order], bucket[order]
         first = np.r_[True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1])]
         head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        repeat = (doc != doc[head]) | (lo != lo[head])
+        repeat = (doc != doc[head]) | (tag != tag[head]) | (lo != lo[head])
         # Half of the bucket number beside the string's own: 96 bits.
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(_signed(number[first])), pa.array(doc[first]), pa.array(lo[first]),
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(_signed(number[first])), pa.array(doc[first]), pa.array(tag[first]), pa.array(lo[first]),
                                           pa.array(np.zeros(int(first.sum()), np.int64))], names=NAMES)
-        yield _decided(*_joined(doc[repeat], lo[repeat], lo[repeat]))
+        yield _decided(*_joined(doc[repeat], tag[repeat], lo[repeat], lo[repeat]))
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "refined", "doc", "lo")
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "refined", "doc", "tag", "lo")
 
 
 def repeated_ranges(rows: DataFrame) -> DataFrame:
-    """doc, lo, hi: starts of strings that also start earlier. ``rows``: doc_id, text."""
-    out = "bucket long, doc long, lo long, hi long"
+    """doc, tag, lo, hi: starts of strings that also start earlier. ``rows``: doc_id, text, tag."""
+    out = "bucket long, doc long, tag long, lo long, hi long"
     found = cut(_sorted(rows.mapInArrow(_suffix_rows, SUFFIX)).mapInArrow(_repeats, out), "suffixes")
-    open_ = (found.where("bucket IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("bucket", "lo", "hi")).alias("ranges")))
+    open_ = (found.where("bucket IS NOT NULL").groupBy("doc", "tag").agg(F.collect_list(F.struct("bucket", "lo", "hi")).alias("ranges")))
     # The same columns as in the last join of remove_repeats, which reuses this shuffle of the texts.
-    texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(open_, "doc").select("doc_id", "text", "ranges")
+    texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(open_, ["doc", "tag"]).select("doc_id", "text", "ranges", "tag")
     fine = _sorted(texts.mapInArrow(_strings, SUFFIX)).mapInArrow(_repeats, out)
-    return found.where("bucket IS NULL").union(fine.where("bucket IS NULL")).select("doc", "lo", "hi")
+    return found.where("bucket IS NULL").union(fine.where("bucket IS NULL")).select("doc", "tag", "lo", "hi")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary) and spans (array of start, end) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lost = repeated_ranges(rows).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    whole = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(lost, "doc", "left").select("doc_id", "text", "ranges")
+    rows = rows.withColumn("tag", F.xxhash64("doc_id", "text"))
+    lost = repeated_ranges(rows).groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    whole = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(lost, ["doc", "tag"], "left").select("doc_id", "text", "ranges", "tag")
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, "
               "spans array<struct<start: long, end: long>>")
 
