@@ -185,6 +185,19 @@ def test_importance_selects_target(spark, none):
     assert importance.resample(none, target).count() == 0
 
 
+def test_importance_border_reads_few_rows(spark, monkeypatch):
+    """Keys far apart, with ties: the border of sorting, and no step gives the driver a row per document."""
+    keys = [int(((-1) ** i) * i ** 2.5 * importance.GRAIN) for i in range(3000)] + [-7] * 5
+    scored = spark.createDataFrame([(k,) for k in keys], "sample_key long")
+    sizes, collect = [], type(scored).collect
+    monkeypatch.setattr(type(scored), "collect", lambda self: sizes.append(len(out := collect(self))) or out)
+    for k in (1, 1500, 1503, 3005):
+        assert importance.border(scored, k) == sorted(keys, reverse=True)[k - 1]
+    assert importance.border(scored, 0) > max(keys) and importance.border(scored, 3006) < min(keys)
+    assert importance.border(scored.where("false"), 3) < 0
+    assert sizes and max(sizes) <= 1024
+
+
 def test_jaccard_components(docs, none):
     def shingles(t):
         w = [x for x in re.split(r"[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]

@@ -42,6 +42,8 @@ TEMPERATURE = 0.1
 RUN = 6
 #: Steps of a key: keys nearer than this are equal.
 GRAIN = 1 << 20
+#: Key ranges counted at once when the border is sought.
+RANGES = 1024
 
 
 def features(data: np.ndarray, off: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,20 +144,24 @@ def resample(docs: DataFrame, target: DataFrame, k: int | None = None, seed: int
 
 
 def border(scored: DataFrame, k: int) -> int:
-    """The k-th largest key: counts of coarse key ranges, then of the keys of one range."""
-    left, low, step = k, None, GRAIN
-    while True:
-        rows = scored if low is None else scored.where((F.col("sample_key") >= low) & (F.col("sample_key") < low + step * 1024))
-        bins = rows.groupBy(F.floor(F.col("sample_key") / step).cast("long").alias("b")).count().orderBy(F.desc("b"))
+    """The k-th largest key: counts of ``RANGES`` key ranges at most, then of the ranges of the one that holds it."""
+    ends = scored.agg(F.min("sample_key").alias("lo"), F.max("sample_key").alias("hi")).first()
+    if k <= 0:
+        return 1 << 62
+    left, lo, hi = k, ends.lo, ends.hi
+    while lo is not None:
+        step = (hi - lo) // RANGES + 1
+        rows = scored.where(F.col("sample_key").between(lo, hi))
+        bins = rows.groupBy(F.expr(f"(sample_key - ({lo})) div {step}").alias("b")).count().orderBy(F.desc("b"))
         found = None
-        # At most some thousand ranges, whatever the number of documents.
         for r in bins.collect():
             if left <= r["count"]:
                 found = r.b
                 break
             left -= r["count"]
-        if k <= 0 or found is None:
-            return (1 << 62) if k <= 0 else -(1 << 62)
+        if found is None:
+            break
+        lo, hi = lo + found * step, min(hi, lo + (found + 1) * step - 1)
         if step == 1:
-            return found
-        low, step = found * step, step // 1024
+            return lo
+    return -(1 << 62)
