@@ -1,6 +1,7 @@
 """WARC archives with revisit resolution.
 
-Only headers (id, digest, size) are shuffled by payload digest: of the records with
+Headers (id, digest, size) are shuffled by payload digest, and beyond ``BROADCAST_IDS // 8``
+repeated digests the payloads too: of the records with
 equal payloads of at least ``min_bytes`` that with the largest id stays the response,
 the others become revisits that name it. The archives are then written with fresh
 headers, one gzip member per record, and no payload in a revisit.
