@@ -261,7 +261,7 @@ def test_leaks_of_copies_only(spark):
             # Seven tenths, or the first six tenths with a word put in.
             copy = w[len(w) // 5:len(w) // 5 + len(w) * 7 // 10] if i % 8 == 3 else [*w[:len(w) // 3], "more", *w[len(w) // 3:len(w) * 6 // 10 + 2]]
         else:
-            copy = [x if j % (4 + i % 3) else f"new{k}x{j}" for j, x in enumerate(w)]
+            copy = [x if j % (4 + i % 3) else f"new{i}x{j}" for j, x in enumerate(w)]
         texts.append(prose() + copy + prose())
         if i % 4 == 2:
             # Exact copies: what the edited one lacks is rarer than what it shares.
