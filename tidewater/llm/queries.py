@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (chat, decontaminate, importance, jaccard_join, language_id, line_runs, quality_rules, sentencepiece_bpe,
-                           suffix_dedup, warc)
+from tidewater.llm import (chat, decontaminate, importance, jaccard_join, language_id, line_runs, ns_kmeans, quality_rules,
+                           radix_resampling, recompression, sentencepiece_bpe, suffix_dedup, warc)
 from tidewater.llm.quality_rules import BARS, BOILERPLATE, NOISY
 from tidewater.session import load
 
@@ -17,6 +17,11 @@ WORDS = "list_filter(string_split_regex({0}, '[\\x20\\x09-\\x0D]+'), lambda x: x
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TRIM = "trim({0}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
+#: CRC-32 of a text column, byte by byte, and the one-row table it looks bytes up in.
+CRC32 = """xor(list_reduce(list_transform(range(strlen({0})), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT),
+  lambda c, b: xor(c >> 8, crc_bytes[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+CRC_BYTES = "list_transform(range(256), lambda n: list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS crc_bytes"
+
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
@@ -144,3 +149,60 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     d = line_runs.dedup_lines(load(spark, sf, "documents"))
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_radix_resampling", f"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT unnest(list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS f FROM benchmark),
+f AS (SELECT doc_id, unnest(w) AS f FROM d),
+crc AS (SELECT f, {CRC32.format("f")} % 10000 AS b FROM (SELECT f FROM f UNION SELECT f FROM b), (SELECT {CRC_BYTES})),
+s AS (SELECT b, count(*) AS s FROM f JOIN crc USING (f) GROUP BY b),
+t AS (SELECT crc.b, count(*) AS t FROM b JOIN crc USING (f) GROUP BY crc.b),
+g AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1) * (sum(s) OVER () + 10000) / ((s + 1) * ((SELECT count(*) FROM b) + 10000)))) AS g FROM s LEFT JOIN t USING (b)),
+m AS (SELECT doc_id, floor(sum(g) / count(*)) AS weight FROM f JOIN crc USING (f) JOIN g USING (b) GROUP BY doc_id),
+h AS (SELECT doc_id, len(w) AS n_features, coalesce(weight, 0)::BIGINT AS weight, ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (doc_id)),
+c AS (SELECT doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::BIGINT AS score FROM h),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM c WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM c LEFT JOIN r USING (doc_id)
+""")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return radix_resampling.resample(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+@query("op12_recompression", f"""
+WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+k AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+m AS (SELECT k, min(doc_id) AS least FROM k GROUP BY k),
+g AS (SELECT DISTINCT doc_id, i + o AS p FROM k JOIN m USING (k), range(50) t(o) WHERE doc_id > least),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM w),
+r AS (SELECT p.doc_id, count(g.p) AS n, coalesce(array_to_string(list(x ORDER BY p.p) FILTER (g.p IS NULL), ' '), '') AS kept
+  FROM p LEFT JOIN g ON g.doc_id = p.doc_id AND g.p = p.p GROUP BY p.doc_id)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return recompression.remove_repeats(load(spark, sf, "documents")).drop("kept", "spans")
+
+
+def _rounds(n: int) -> str:
+    """Rounds of assignment and update as SQL."""
+    nearest = "SELECT vec_id, j, d FROM (SELECT vec_id, j, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{0} c USING (i) GROUP BY vec_id, j) " \
+              "QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, j) = 1"
+    mean = "SELECT j, i, coalesce(m.x, c.x) AS x FROM c{0} c LEFT JOIN (SELECT j, i, floor(sum(x) / count(*))::BIGINT AS x FROM v JOIN a{0} USING (vec_id) " \
+           "GROUP BY j, i) m USING (j, i)"
+    steps = [f"a{k} AS ({nearest.format(k)}), c{k + 1} AS ({mean.format(k)})" for k in range(n)]
+    return ",\n".join([*steps, f"a{n} AS ({nearest.format(n)})"])
+
+
+@query("op13_ns_kmeans", f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+v AS (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS i FROM e),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS j FROM e QUALIFY j < 16),
+c0 AS (SELECT j, i, x FROM v JOIN s USING (vec_id)),
+{_rounds(3)},
+z AS (SELECT j, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY j)
+SELECT vec_id, j::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a3 JOIN z USING (j)
+""")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return ns_kmeans.cluster(load(spark, sf, "embeddings")).drop("centroid")
