@@ -27,14 +27,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tidewater.llm.text import flat, slices
+
 SPACE = "▁"
 #: Chunks kept by a worker in each of two generations.
-CACHED = 1 << 18
+CACHED = 1 << 17
 #: Chunks with more symbols than this use a heap, not rounds over many chunks.
 LONG = 48
 #: Characters of text tokenized at once, chunks looked up and chunks merged together.
 PART_CHARS, HELD, TOGETHER = 1 << 20, 1 << 18, 1 << 13
 
+#: Bytes of texts encoded together.
+SLICE = 1 << 21
+
 _loaded: dict[str, Encoder] = {}
 
 
@@ -272,12 +277,12 @@ def encode(df: DataFrame, model: str, text: str = "text", keep: tuple[str, ...]
     def run(batches):
         enc = encoder(model)
         for batch in batches:
-            texts = pc.fill_null(batch.column(len(keep)), "").to_pylist()
-            for lo in range(0, len(texts), 1000):
-                some = texts[lo:lo + 1000]
+            _, off = flat(batch.column(len(keep)))
+            for lo, hi in slices(off, SLICE):
+                some = pc.fill_null(batch.column(len(keep)).slice(lo, hi - lo), "").to_pylist()
                 ids = enc.encode(some, check)
                 back = enc.decode(ids) if decode else [None] * len(ids)
-                own = batch.slice(lo, len(some))
+                own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*own.columns[:len(keep)], pa.array(ids, pa.binary()), pa.array(back, pa.string())], names=schema.names)
 
     return df.select(*keep, text).mapInArrow(run, schema)
