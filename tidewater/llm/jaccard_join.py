@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import BROADCAST_IDS, cut, only
 from tidewater.llm.components import components
-from tidewater.llm.text import LOWER, grams, hashes, mix, parts, ranges, words
+from tidewater.llm.text import LOWER, flat, grams, hashes, mix, parts, ranges, slices, words
 
 #: Frequent shingles that the order knows at most (two numbers each).
 HINTS = 1 << 18
@@ -50,7 +50,7 @@ LEAST_MATCH, MOST_MATCH = 2, 8
 #: Documents of a block of the frequent part.
 BLOCK = 1024
 #: Bytes of texts whose sets a task keeps while it verifies.
-KEPT_SETS = 32 << 20
+KEPT_SETS = 8 << 20
 
 
 def sets(column, n: int):
@@ -168,21 +168,23 @@ def similar(docs: DataFrame, pairs: DataFrame, n: int, percent: int, text: str)
         held = 0
         for batch in batches:
             xs, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for side, ids in ((2, xs), (3, ys)):
-                where = {i: k for k, i in enumerate(ids) if i not in known}
-                take = list(where.values())
-                for k, own in sets(batch.column(side).take(pa.array(take, pa.int64())), n):
-                    known[ids[take[k]]] = own
-                    held += own.nbytes
             u, v = [], []
-            for x, y in zip(xs, ys, strict=True):
-                a, b = known[x], known[y]
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
-                    u.append(x)
-                    v.append(y)
-            if held > KEPT_SETS:
-                known, held = {}, 0
+            # As many pairs at once as keep the sets of their texts within bounds.
+            for lo, hi in slices(flat(batch.column(2))[1] + flat(batch.column(3))[1], KEPT_SETS):
+                for side, ids in ((2, xs), (3, ys)):
+                    where = {ids[k]: k for k in range(lo, hi) if ids[k] not in known}
+                    take = list(where.values())
+                    for k, own in sets(batch.column(side).take(pa.array(take, pa.int64())), n):
+                        known[ids[take[k]]] = own
+                        held += own.nbytes
+                for x, y in zip(xs[lo:hi], ys[lo:hi], strict=True):
+                    a, b = known[x], known[y]
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        u.append(x)
+                        v.append(y)
+                if held > KEPT_SETS:
+                    known, held = {}, 0
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return left.join(right, "y").select("x", "y", "text_x", "text_y").mapInArrow(run, "u long, v long")
