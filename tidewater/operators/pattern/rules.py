@@ -57,14 +57,20 @@ def match_rules(
     data = with_epoch(df, rule, ts, tie, first_rule)
     # Fitted on the events themselves: an epoch only makes groups smaller.
     width = S.sequence(df, by, ts, tie, width).width
-    keys = [*by, "epoch"]
     parts = []
     for rule_id, p in rules.items():
         p = (Pattern.from_json(p) if isinstance(p, str) else p).check()
-        g = build(p)
-        found = find(data.where(F.col("rule_id") == rule_id), p, g, keys, ts, tie, payload, width, False)
-        names = F.array(*[F.lit(s.name) for s in g.slots])
-        events = F.transform("items", lambda x: F.struct(F.element_at(names, x["slot"] + 1).alias("step"), x["e"].alias("event")))
-        parts.append(found.select(
-            *[F.col(S.KEY)[k].alias(k) for k in keys], F.lit(rule_id).alias("rule_id"), "start_ts", "end_ts", events.alias("events")))
+        parts.append(match_epochs(data.where(F.col("rule_id") == rule_id), rule_id, p, by, ts, tie, payload, width))
     return reduce(DataFrame.unionByName, parts)
+
+
+def match_epochs(
+    data: DataFrame, rule_id: str, pattern: Pattern, by: Seq[str], ts: str, tie: Seq[str], payload: Seq[str], width: timedelta | None,
+) -> DataFrame:
+    """Matches of one rule within (key, ``epoch``)."""
+    keys = [*by, "epoch"]
+    g = build(pattern)
+    found = find(data, pattern, g, keys, ts, tie, payload, width, False)
+    names = F.array(*[F.lit(s.name) for s in g.slots])
+    events = F.transform("items", lambda x: F.struct(F.element_at(names, x["slot"] + 1).alias("step"), x["e"].alias("event")))
+    return found.select(*[F.col(S.KEY)[k].alias(k) for k in keys], F.lit(rule_id).alias("rule_id"), "start_ts", "end_ts", events.alias("events"))

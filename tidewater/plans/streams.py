@@ -13,9 +13,11 @@ from tidewater.sources.readers import good_and_broken
 from tidewater.streaming import state as ST
 from tidewater.streaming import windows as W
 from tidewater.streaming.changes import RetractSink
+from tidewater.streaming.joins import JsonSide, json_join
 from tidewater.streaming.matcher import BatchMatcher, stream_match
+from tidewater.streaming.rules import RuleMatcher
 from tidewater.streaming.runner import (
-    collect_table, each_batch, latest_table, run_slices, stream_events, stream_table, write_all)
+    collect_table, each_batch, latest_table, replay, run_slices, stream_events, stream_table)
 from tidewater.session import load, load_events, work_dir
 
 c = F.col
@@ -34,6 +36,11 @@ def _aggs():
     return [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")]
 
 
+def timed(spark, d, build, batches=None, checkpoint=None, delay="1 hour"):
+    """The events replayed in event-time order, with a watermark."""
+    return replay(load_events(spark, d), "ts", lambda s: build(s.withWatermark("ts", delay) if delay else s), batches, checkpoint)
+
+
 # Windows that end by (greatest time - delay) are closed and come out. The mark
 # is cut to milliseconds, as the engine keeps it.
 _CLOSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)"
@@ -44,8 +51,7 @@ _CLOSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM ev
            count(*) AS n, round(sum(value), 4) AS total FROM events
     GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR <= {_CLOSED}""")
 def stream_tumble(spark, d):
-    ev = stream_events(spark, path(d), "1 hour")
-    out = collect_table(W.window_agg(ev, W.tumble("ts", "6 hours"), ["event_type"], _aggs()))
+    out = timed(spark, d, lambda ev: W.window_agg(ev, W.tumble("ts", "6 hours"), ["event_type"], _aggs()))
     return out.select("event_type", *ntz("window_start", "window_end"), "n", "total")
 
 
@@ -54,8 +60,7 @@ def stream_tumble(spark, d):
     FROM (SELECT *, unnest([time_bucket(INTERVAL 2 HOUR, ts), time_bucket(INTERVAL 2 HOUR, ts) - INTERVAL 2 HOUR, time_bucket(INTERVAL 2 HOUR, ts) - INTERVAL 4 HOUR]) AS s FROM events)
     GROUP BY ALL HAVING window_end <= {_CLOSED}""")
 def stream_hop(spark, d):
-    ev = stream_events(spark, path(d), "1 hour")
-    out = collect_table(W.window_agg(ev, W.hop("ts", "2 hours", "6 hours"), ["event_type"], _aggs()))
+    out = timed(spark, d, lambda ev: W.window_agg(ev, W.hop("ts", "2 hours", "6 hours"), ["event_type"], _aggs()))
     return out.select("event_type", *ntz("window_start", "window_end"), "n", "total")
 
 
@@ -65,8 +70,7 @@ def stream_hop(spark, d):
     SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 2 HOUR AS window_end, count(*) AS n, round(sum(value), 4) AS total
     FROM k GROUP BY user_id, id HAVING max(ts) + INTERVAL 2 HOUR <= {_CLOSED}""")
 def stream_session(spark, d):
-    ev = stream_events(spark, path(d), "1 hour")
-    out = collect_table(W.window_agg(ev, W.session("ts", "2 hours"), ["user_id"], _aggs()))
+    out = timed(spark, d, lambda ev: W.window_agg(ev, W.session("ts", "2 hours"), ["user_id"], _aggs()))
     return out.select("user_id", *ntz("window_start", "window_end"), "n", "total")
 
 
@@ -87,11 +91,33 @@ def stream_union_filter(spark, d):
     SELECT a.event_id AS click_id, b.event_id AS buy_id FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts >= a.ts AND b.ts < a.ts + INTERVAL 1 HOUR
     WHERE a.event_type = 'click' AND b.event_type = 'purchase'""")
 def stream_interval_join(spark, d):
-    ev = stream_events(spark, path(d), "1 hour")
-    a = ev.where("event_type = 'click'").select(c("event_id").alias("click_id"), "user_id", c("ts").alias("t1"))
-    b = ev.where("event_type = 'purchase'").select(c("event_id").alias("buy_id"), c("user_id").alias("u2"), c("ts").alias("t2"))
-    j = a.join(b, F.expr("user_id = u2 AND t2 >= t1 AND t2 < t1 + INTERVAL 1 HOUR"))
-    return collect_table(j.select("click_id", "buy_id"))
+    def join(ev):
+        a = ev.where("event_type = 'click'").select(c("event_id").alias("click_id"), "user_id", c("ts").alias("t1"))
+        b = ev.where("event_type = 'purchase'").select(c("event_id").alias("buy_id"), c("user_id").alias("u2"), c("ts").alias("t2"))
+        return a.join(b, F.expr("user_id = u2 AND t2 >= t1 AND t2 < t1 + INTERVAL 1 HOUR")).select("click_id", "buy_id")
+
+    return timed(spark, d, join)
+
+
+_SIDE = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts FROM events WHERE event_type = '{0}'"
+
+
+@query("stream_json_join", f"""
+    WITH l AS ({_SIDE.format("click")}), r AS ({_SIDE.format("signup")}),
+         m AS (SELECT date_trunc('milliseconds', least((SELECT max(ts) FROM l), (SELECT max(ts) FROM r))) - INTERVAL 1 HOUR AS mark),
+         p AS (SELECT l.event_id AS click_id, l.k, r.event_id AS signup_id, l.ts FROM l LEFT JOIN r ON l.k = r.k AND r.ts >= l.ts AND r.ts <= l.ts + INTERVAL 8 HOUR)
+    SELECT click_id, k, signup_id FROM p, m WHERE signup_id IS NOT NULL OR ts + INTERVAL 8 HOUR < mark""")
+def stream_json_join(spark, d):
+    """Clicks with the signups of the same key in the next eight hours; clicks without one come once that is sure."""
+    schema = T.StructType.fromDDL("id bigint, k int, t bigint")
+
+    def join(ev):
+        body = F.to_json(F.struct(c("event_id").alias("id"), F.get_json_object("props", "$.k").cast("int").alias("k"), F.unix_micros("ts").alias("t")))
+        side = lambda kind: JsonSide(ev.where(c("event_type") == kind).select(body.alias("body")), "body", schema, "t")
+        j = json_join(side("click"), side("signup"), [("k", "k")], "0 HOURS", "8 HOURS", "left_outer")
+        return j.select(c("left.id").alias("click_id"), c("left.k").alias("k"), c("right.id").alias("signup_id"))
+
+    return timed(spark, d, join, delay=None)
 
 
 @query("stream_static_join", "SELECT e.event_id, c.c_mktsegment FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE e.event_type = 'purchase'")
@@ -198,10 +224,12 @@ _BUY_SQL = """SELECT a.user_id, a.event_id AS a_id, b.event_id AS b_id, b.ts FRO
 
 @query("stream_cep_event_time", f"SELECT user_id, a_id, b_id FROM ({_BUY_SQL}) WHERE ts <= {_CLOSED}")
 def stream_cep_event_time(spark, d):
-    ev = stream_events(spark, path(d), "1 hour").select("event_id", "user_id", "event_type", "ts")
-    m = stream_match(ev, _BUY, ["user_id"], "ts", ["event_id"], ["event_id"])
+    def matched(ev):
+        m = stream_match(ev.select("event_id", "user_id", "event_type", "ts"), _BUY, ["user_id"], "ts", ["event_id"], ["event_id"])
+        return m.select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id"))
+
     # Events at the watermark itself have passed it.
-    return collect_table(m.select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id")))
+    return timed(spark, d, matched)
 
 
 @query("stream_cep_microbatch", f"""
@@ -214,16 +242,54 @@ def stream_cep_microbatch(spark, d):
     return sink.matches().select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id"))
 
 
+_LOOK = begin("x").where("event_type = 'view'").next("y").where("event_type = 'click'").within(6 * HOUR)
+_NOW = begin("x").where("event_type = 'click'").next("y").where("event_type = 'purchase'").within(6 * HOUR)
+_SWITCH = "CASE WHEN event_type = 'signup' AND value < 10 THEN '{0}' WHEN event_type = 'signup' AND value < 20 THEN '{1}' END"
+_IN_TIME = f"{_SLICES}, events AS (SELECT a.* FROM a JOIN w USING (slice) WHERE mark IS NULL OR ts > mark)"
+
+
+def _rule_matcher(spark, d):
+    """The control rows carry the rule itself as text."""
+    buy, look = _NOW.to_json(), _LOOK.to_json()
+    rule = F.when((c("event_type") == "signup") & (c("value") < 10), buy).when((c("event_type") == "signup") & (c("value") < 20), look)
+    sink = RuleMatcher(spark, rule, ["user_id"], "ts", ["event_id"], ["event_id"], HOUR, first_rule=buy)
+    keep = lambda s: s.select("event_id", "user_id", "event_type", "value", "ts")
+    run_slices(spark, _slices(spark, d), lambda s, ck: each_batch(keep(s), sink, checkpoint=ck))
+    return sink, lambda r: F.when(r == buy, "buy").otherwise("look")
+
+
+@query("stream_dynamic_rules", f"""
+    WITH {_IN_TIME}, q AS (SELECT *, {_SWITCH.format("buy", "look")} AS rule FROM events),
+         k AS (SELECT *, count(rule) OVER v AS epoch, coalesce(last_value(rule IGNORE NULLS) OVER v, 'buy') AS cur FROM q WINDOW v AS (ORDER BY ts, event_id)),
+         l AS (SELECT *, lead(event_id) OVER v AS id1, lead(event_type) OVER v AS t1, lead(ts) OVER v AS ts1 FROM k WHERE rule IS NULL WINDOW v AS (PARTITION BY user_id, epoch ORDER BY ts, event_id))
+    SELECT user_id, epoch, cur AS rule_id, event_id AS x_id, id1 AS y_id FROM l
+    WHERE ((cur = 'buy' AND event_type = 'click' AND t1 = 'purchase') OR (cur = 'look' AND event_type = 'view' AND t1 = 'click'))
+      AND ts1 - ts < INTERVAL 6 HOUR AND ts1 <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def stream_dynamic_rules(spark, d):
+    sink, name = _rule_matcher(spark, d)
+    return sink.matches().select("user_id", "epoch", name(c("rule_id")).alias("rule_id"), c("events")[0]["event"]["event_id"].alias("x_id"), c("events")[1]["event"]["event_id"].alias("y_id"))
+
+
+@query("state_rules", f"""
+    WITH {_IN_TIME}, q AS (SELECT *, {_SWITCH.format("buy", "look")} AS rule FROM events),
+         r AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS epoch, ts AS since, rule FROM q WHERE rule IS NOT NULL),
+         m AS (SELECT slice, max(max(ts)) OVER (ORDER BY slice) - INTERVAL 1 HOUR AS mark FROM a GROUP BY slice)
+    SELECT CAST(slice AS INTEGER) AS version, epoch, since, rule FROM r JOIN m ON since <= mark WHERE slice > 0""")
+def state_rules(spark, d):
+    """The rule table as it was after the second and after the third batch."""
+    sink, name = _rule_matcher(spark, d)
+    at = lambda k: sink.rules_at(k).select(F.lit(k).alias("version"), "epoch", *ntz("since"), name(c("rule")).alias("rule"))
+    return at(1).unionAll(at(2))
+
+
 # State as tables
 
 @query("state_windows", f"""
     SELECT event_type, time_bucket(INTERVAL 6 HOUR, ts) AS window_start, count(*) AS n FROM events
     GROUP BY 1, 2 HAVING time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR > {_CLOSED}""")
 def state_windows(spark, d):
-    ev = stream_events(spark, path(d), "1 hour")
-    agg = ev.groupBy(F.window("ts", "6 hours"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     ck = work_dir(spark, "ckpt")
-    write_all(agg, checkpoint=ck)
+    timed(spark, d, lambda ev: ev.groupBy(F.window("ts", "6 hours"), "event_type").agg(F.count(F.lit(1)).alias("n")), checkpoint=ck)
     s = ST.window_state(spark, ck)
     return s.select("event_type", *ntz("window_start"), c("count").alias("n"))
 

@@ -75,13 +75,56 @@ def latest_table(df: DataFrame, key: list[str], mode: str = "update", name: str
     return got.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*key, "r.*")
 
 
-def run_slices(spark: SparkSession, slices: Iterable[DataFrame], start: Callable[[DataFrame, str], None]) -> str:
+#: Rows of a replayed batch, and batches at least, so that a watermark acts between them.
+REPLAY_ROWS, REPLAY_BATCHES = 1 << 24, 2
+
+
+def event_time_slices(df: DataFrame, ts: str, batches: int | None = None) -> list[DataFrame]:
+    """Slices of a table in the order of event time, of about equal numbers of rows.
+
+    Rows of one time stay together. Without ``batches`` a slice has about ``REPLAY_ROWS`` rows.
+    """
+    if batches is None:
+        batches = max(REPLAY_BATCHES, -(-df.count() // REPLAY_ROWS))
+    t = F.col(ts).cast("timestamp")
+    cuts = df.agg(F.percentile_approx(F.unix_micros(t), [k / batches for k in range(1, batches)], 100 * batches)).first()[0] if batches > 1 else None
+    edges = sorted(set(cuts or []))
+    lo, out = None, []
+    for hi in [*edges, None]:
+        after = F.coalesce(t > F.timestamp_micros(F.lit(lo)), F.lit(False)) if lo is not None else F.lit(True)
+        # Rows without a time come first.
+        before = F.coalesce(t <= F.timestamp_micros(F.lit(hi)), F.lit(True)) if hi is not None else F.lit(True)
+        out.append(df.where(after & before))
+        lo = hi
+    return out
+
+
+def replay(df: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame], batches: int | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Result of an append-mode stream over a table, fed in event-time order, one run per slice.
+
+    ``build`` turns the stream into its result. The watermark closes windows and drops state
+    between the slices, so state is bounded by the delay, not by the table.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "replay")
+    schema = []
+
+    def start(stream: DataFrame, ckpt: str) -> None:
+        out = build(stream)
+        schema[:] = [out.schema]
+        write_all(out, checkpoint=ckpt, path=path)
+
+    run_slices(spark, event_time_slices(df, ts, batches), start, checkpoint)
+    return spark.read.schema(schema[0]).parquet(path)
+
+
+def run_slices(spark: SparkSession, slices: Iterable[DataFrame], start: Callable[[DataFrame, str], None], checkpoint: str | None = None) -> str:
     """Feed slices one after the other, each as one run over the same checkpoint.
 
     ``start(stream, checkpoint)`` must process what is available. Returns the
     checkpoint folder.
     """
-    source, ckpt = work_dir(spark, "slices"), work_dir(spark, "ckpt")
+    source, ckpt = work_dir(spark, "slices"), checkpoint or work_dir(spark, "ckpt")
     for s in slices:
         s.write.mode("append").parquet(source)
         start(spark.readStream.schema(s.schema).parquet(source), ckpt)
