@@ -180,7 +180,7 @@ def _joined(doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, hi: np.ndarray) ->
 
 
 def _reduced(held: list[list[np.ndarray]], bits: int):
-    """Rows of the least document of each bucket and refined number, then the ranges of all others (no bucket)."""
+    """Rows of the least document of each bucket and refined number, then the windows of all others (no refined number)."""
     bucket, refined, doc, tag, code = (np.concatenate(c) for c in zip(*held, strict=True))
     order = np.lexsort((doc, refined, bucket))
     bucket, refined, doc, tag, code = bucket[order], refined[order], doc[order], tag[order], code[order]
@@ -190,9 +190,13 @@ def _reduced(held: list[list[np.ndarray]], bits: int):
                                      names=["bucket", "refined", "doc", "tag", "code"])
     lo = code[~least] >> bits
     doc, tag, lo, hi = _joined(doc[~least], tag[~least], lo, lo + (code[~least] & ((1 << bits) - 1)))
-    # Joined ranges may be long: the number of windows stands in place of the refined number.
-    none = pa.nulls(len(doc), pa.int64())
-    yield pa.RecordBatch.from_arrays([none, pa.array(hi - lo), pa.array(doc), pa.array(tag), pa.array(lo)], names=["bucket", "refined", "doc", "tag", "code"])
+    # As many windows as a code can count; the bucket only spreads the rows.
+    most = 1 << bits
+    times = (hi - lo) // most + 1
+    doc, tag, hi, begin = (np.repeat(x, times) for x in (doc, tag, hi, lo))
+    begin += (np.arange(len(begin)) - np.repeat(np.cumsum(times) - times, times)) * most
+    code = begin << bits | np.minimum(hi - begin, most - 1)
+    yield pa.RecordBatch.from_arrays([pa.array(tag ^ begin), pa.nulls(len(doc), pa.int64()), pa.array(doc), pa.array(tag), pa.array(code)], names=["bucket", "refined", "doc", "tag", "code"])
 
 
 def _reveal(window: int, rounds: int):
@@ -266,12 +270,6 @@ def _verify(window: int):
     return run
 
 
-def _split(rows: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with a bucket, and ranges that are decided."""
-    decided = rows.where("bucket IS NULL").select("doc", "tag", F.col("code").alias("lo"), (F.col("code") + F.col("refined")).alias("hi"))
-    return rows.where("bucket IS NOT NULL"), decided
-
-
 def _range(bits: int) -> list[Column]:
     lo = F.shiftright("code", bits)
     return [F.col("doc"), F.col("tag"), lo.alias("lo"), (lo + F.col("code").bitwiseAND(F.lit((1 << bits) - 1))).alias("hi")]
@@ -281,7 +279,7 @@ def repeated_windows(rows: DataFrame, tables: Tables, window: int, rounds: int)
     """doc, tag, lo, hi: first words of windows that a smaller document also has. ``rows``: doc_id, text, tag."""
     bits = window.bit_length()
     all_ = tables.cut(rows.mapInArrow(_reveal(window, rounds), ROWS), "anchors")
-    live, decided = _split(all_, bits)
+    live, decided = all_.where("refined IS NOT NULL"), all_.where("refined IS NULL").select(*_range(bits))
     slot = F.shiftrightunsigned("bucket", 64 - SLOTS.bit_length() + 1).cast("int")
     counts = live.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()
     # Fewer than HOT slots.
@@ -289,7 +287,8 @@ def repeated_windows(rows: DataFrame, tables: Tables, window: int, rounds: int)
     hot = [r.slot for r in counts if r.n > most]
     salt = F.when(slot.isin(hot), F.col("refined")).otherwise(0) if hot else F.lit(0).cast("long")
     same, bucket = Window.partitionBy("bucket", "salt", "refined"), Window.partitionBy("bucket", "salt")
-    seen = live.withColumn("salt", salt).withColumn("least", F.min("doc").over(same)).withColumn("open", F.min("least").over(bucket) < F.max("least").over(bucket))
+    # One shuffle serves both windows.
+    seen = live.withColumn("salt", salt).repartition("bucket", "salt").withColumn("least", F.min("doc").over(same)).withColumn("open", F.min("least").over(bucket) < F.max("least").over(bucket))
     if hot:
         seen = seen.withColumn("open", F.col("open") | slot.isin(hot))
     found = tables.cut(seen.where("doc > least OR open").select("bucket", *_range(bits), "code", (F.col("doc") > F.col("least")).alias("repeats")), "open")
@@ -297,10 +296,8 @@ def repeated_windows(rows: DataFrame, tables: Tables, window: int, rounds: int)
     open_ = found.where("NOT repeats").groupBy("doc", "tag").agg(F.collect_list(F.struct("bucket", "code")).alias("ranges"))
     # The same columns as in the last join of remove_repeats, which reuses this shuffle of the texts.
     texts = rows.withColumn("doc", F.coalesce("doc_id", F.lit(FIRST))).join(open_, ["doc", "tag"]).select("doc_id", "text", "tag", "ranges")
-    fine = tables.cut(texts.mapInArrow(_verify(window), ROWS), "windows")
-    single, more = _split(fine, bits)
-    single = single.withColumn("least", F.min("doc").over(Window.partitionBy("bucket", "refined"))).where("doc > least").select(*_range(bits))
-    return ranges.union(more).union(single)
+    single = texts.mapInArrow(_verify(window), ROWS).withColumn("least", F.min("doc").over(Window.partitionBy("bucket", "refined")))
+    return ranges.union(single.where("refined IS NULL OR doc > least").select(*_range(bits)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, text: str = "text", id_col: str = "doc_id") -> DataFrame:
