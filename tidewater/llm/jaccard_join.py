@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BROADCAST_IDS, cut, only
+from tidewater.llm.common import BROADCAST_IDS, Tables, cut, only
 from tidewater.llm.components import components
 from tidewater.llm.text import LOWER, flat, grams, hashes, mix, parts, ranges, slices, words
 
@@ -47,6 +47,8 @@ FREQUENT = 50
 #: Shingles counted together, and the count there from which one is reported.
 PART_SHINGLES, PART_COUNT = 1 << 20, 3
 LEAST_MATCH, MOST_MATCH = 2, 8
+#: Lists that the list of a frequent shingle is dealt into.
+DEALT = 64
 #: Documents of a block of the frequent part.
 BLOCK = 1024
 #: Bytes of texts whose sets a task keeps while it verifies.
@@ -122,13 +124,13 @@ def frequent(docs: DataFrame, n: int, text: str) -> tuple[np.ndarray, np.ndarray
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, hints: tuple[np.ndarray, np.ndarray], text: str) -> DataFrame:
-    """token, doc, n (set size), l (matches asked for) and often (ordered last) of every prefix shingle."""
+    """token, doc and pack of every prefix shingle: set size, matches asked for (5 bits) and whether it is ordered last (1 bit)."""
     often, count = hints
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            token, doc, size, asked, last = [], [], [], [], []
+            token, doc, pack = [], [], []
             for k, own in sets(batch.column(1), n):
                 if not len(own):
                     continue
@@ -145,15 +147,28 @@ def prefixes(docs: DataFrame, n: int, percent: int, hints: tuple[np.ndarray, np.
                 own_prefix = own[:first + match - 1]
                 token.append(own_prefix)
                 doc.append(np.full(len(own_prefix), ids[k]))
-                size.append(np.full(len(own_prefix), len(own)))
-                asked.append(np.full(len(own_prefix), match, np.int32))
-                last.append(cost[:len(own_prefix)] > 0)
+                pack.append((len(own) << 6 | match << 1) + (cost[:len(own_prefix)] > 0))
             if token:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(doc)), pa.array(np.concatenate(size)), pa.array(np.concatenate(asked)), pa.array(np.concatenate(last))],
-                    names=["token", "doc", "n", "l", "often"])
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(token)), pa.array(np.concatenate(doc)), pa.array(np.concatenate(pack))], names=["token", "doc", "pack"])
 
-    return docs.select("doc_id", text).mapInArrow(run, "token long, doc long, n long, l int, often boolean")
+    return docs.select("doc_id", text).mapInArrow(run, "token long, doc long, pack long")
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def token_lists(prefix: DataFrame) -> DataFrame:
+    """token, doc, n (set size), l (matches asked for), often (ordered last) and head (the least
+    document of the list) of the prefix shingles that another prefix holds too.
+
+    The list of a frequent shingle is dealt into ``DEALT`` lists with a head each."""
+    often = F.col("pack").bitwiseAND(F.lit(1)) == 1
+    dealt = prefix.withColumn("often", often).withColumn("deal", F.when(often, F.pmod(F.xxhash64("doc"), F.lit(DEALT))).otherwise(0))
+    own = Window.partitionBy("token", "deal")
+    # Shingles that only one prefix holds bring no candidate.
+    listed = dealt.withColumn("head", F.min("doc").over(own)).withColumn("last", F.max("doc").over(own)).where("often OR head <> last")
+    return listed.select("token", "doc", F.shiftright("pack", 6).alias("n"), F.shiftright("pack", 1).bitwiseAND(F.lit(31)).cast("int").alias("l"), "often", "head")
 
 
 def similar(docs: DataFrame, pairs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
@@ -224,7 +239,10 @@ def _counted(table: pa.Table, n: int, percent: int) -> pa.Table:
 
 def frequent_links(docs: DataFrame, lists: DataFrame, n: int, percent: int) -> DataFrame:
     """Links between documents whose prefixes share frequent shingles, as edges u, v."""
-    reach = lists.where("often").select("doc", "head").where("doc <> head").distinct()
+    often = lists.where("often")
+    # Heads of one shingle's lists meet in the least of them.
+    heads = often.where("doc = head").groupBy("token").agg(F.collect_set("head").alias("heads")).select(F.explode("heads").alias("doc"), F.array_min("heads").alias("head"))
+    reach = often.select("doc", "head").union(heads).where("doc <> head").distinct()
     cluster = cut(components(reach.select(F.col("doc").alias("u"), F.col("head").alias("v"))), "clusters")
     blocks = cluster.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     place = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -242,19 +260,17 @@ def _fits(percent: int):
 
 def link(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
+    tables = Tables(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     base = cut(fingerprints(rows, n, "text"), "sets")
     full = base.where("n > 0 AND doc_id IS NOT NULL")
     nodes = full.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("node"))
     nodes = cut(nodes, "nodes")
     own = only(rows, nodes.select(F.col("node").alias("doc_id")), "doc_id")
-    prefix = cut(prefixes(own, n, percent, frequent(own, n, "text"), "text"), "prefixes")
-    # Shingles that only one prefix holds bring no candidate.
-    lists = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("head")).where("c > 1").drop("c")
-    lists = cut(prefix.join(lists, "token"), "lists")
+    lists = tables.cut(token_lists(prefixes(own, n, percent, frequent(own, n, "text"), "text")), "lists")
 
     blocks = cut(frequent_links(own, lists, n, percent), "links")
-    lists = lists.where("NOT often")
+    all_lists, lists = lists, lists.where("NOT often")
 
     # First round: each document with the head of a list that it shares most with.
     heads = lists.where("doc = head").select("token", F.col("n").alias("n2"), F.col("l").alias("l2"))
@@ -265,14 +281,16 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", id_
     label = cut(components(first), "labels")
 
     # Second round: candidates that are still apart.
-    far = cut(lists.join(label.withColumnRenamed("id", "doc"), "doc", "left").select("token", "doc", "n", "l", F.coalesce("label", "doc").alias("label")), "far")
-    apart = far.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token")
-    far = cut(far.join(apart, "token"), "apart")
+    far = lists.join(label.withColumnRenamed("id", "doc"), "doc", "left").select("token", "doc", "n", "l", F.coalesce("label", "doc").alias("label"))
+    own_list = Window.partitionBy("token")
+    far = tables.cut(far.withColumn("a", F.min("label").over(own_list)).withColumn("b", F.max("label").over(own_list)).where("a <> b").drop("a", "b"), "apart")
     other = far.select("token", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("label").alias("label2"))
     # Both orders of a pair meet; the one with the larger id first stays.
     rest = (far.join(other, "token").where((F.col("doc") > F.col("doc2")) & (F.col("label") != F.col("label2"))).where(_fits(percent))
             .groupBy("doc", "doc2").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("l", "l2")).alias("l")).where("c >= l"))
-    second = similar(own, cut(rest.select(F.col("doc").alias("x"), F.col("doc2").alias("y")), "pairs"), n, percent, "text")
+    pairs = cut(rest.select(F.col("doc").alias("x"), F.col("doc2").alias("y")), "pairs")
+    tables.drop(all_lists, far)
+    second = similar(own, pairs, n, percent, "text")
     label = components(first.union(second))
 
     named = nodes.join(label.withColumnRenamed("id", "node"), "node", "left").select("fp1", "fp2", "n", F.coalesce("label", "node").alias("component_id"))
