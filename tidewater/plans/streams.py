@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tidewater.operators.pattern import begin
 from tidewater.plans.registry import query
 from tidewater.sources.readers import good_and_broken
+from tidewater.streaming import keyed as K
 from tidewater.streaming import state as ST
 from tidewater.streaming import windows as W
 from tidewater.streaming.changes import RetractSink
@@ -327,3 +328,112 @@ def state_bootstrap(spark, d):
 
 def _drop(batch, batch_id):
     batch.write.format("noop").mode("append").save()
+
+
+# List, map and value state, timers, windows as elements
+
+_LAST = """SELECT user_id, count(*) AS n, epoch_us(max(ts)) // 1000 + 6 * 3600 * 1000 AS due FROM events GROUP BY user_id"""
+
+
+def _purse():
+    """Per user: purchases as a list, counts and greatest value per event type as a map, all events as a value; a timer six hours after the last event."""
+    count = lambda old, row: ((old[0] if old else 0) + 1,)
+    best = lambda old, row: ((old[0] if old else 0) + 1, max(old[1], row["value"]) if old else row["value"])
+    return K.KeyedProcessor(
+        [K.Items("bought", "event_id bigint", lambda row: (row["event_id"],) if row["event_type"] == "purchase" else None),
+         K.Entries("types", "event_type string", "n bigint, top double", lambda row: (row["event_type"],), best), K.Value("total", "n bigint", count)],
+        timer=lambda row: row["ms"] + 6 * 3600 * 1000, on_timer=lambda key, state, at: [(key[0], at)])
+
+
+def _kept(spark, d, initial=None, where=None):
+    """The checkpoint of the processor over the events, and what its timers emitted."""
+    ck = work_dir(spark, "ckpt")
+    rows = lambda s: K.process(s.withColumn("ms", F.unix_millis("ts")), ["user_id"], _purse(), "user_id bigint, due bigint", initial)
+    ev = load_events(spark, d).select("event_id", "user_id", "event_type", "value", "ts")
+    with K.list_state_store(spark):
+        fired = replay(ev if where is None else ev.where(where), "ts", lambda s: rows(s.withWatermark("ts", "1 hour")), checkpoint=ck)
+    return ck, fired
+
+
+@query("state_list", "SELECT user_id, event_id FROM events WHERE event_type = 'purchase'")
+def state_list(spark, d):
+    ck, _ = _kept(spark, d)
+    return ST.read_state(spark, ck, variable="bought").select("key.user_id", "list_element.event_id")
+
+
+@query("state_map", "SELECT user_id, event_type, count(*) AS n, max(value) AS top FROM events GROUP BY 1, 2")
+def state_map(spark, d):
+    ck, _ = _kept(spark, d)
+    return ST.read_state(spark, ck, variable="types").select("key.user_id", "user_map_key.event_type", "user_map_value.*")
+
+
+@query("state_timers", f"SELECT user_id, due, CASE WHEN due > epoch_ms({_CLOSED}) THEN 'registered' ELSE 'fired' END AS state FROM ({_LAST})")
+def state_timers(spark, d):
+    """The timer of each user: registered, or the last one that fired."""
+    ck, fired = _kept(spark, d)
+    waiting = ST.read_state(spark, ck, timers=True).select("key.user_id", c("expiration_timestamp_ms").alias("due"), F.lit("registered").alias("state"))
+    done = fired.groupBy("user_id").agg(F.max("due").alias("due")).join(waiting, "user_id", "left_anti")
+    return waiting.unionAll(done.select("user_id", "due", F.lit("fired")))
+
+
+@query("state_bootstrap_timers", f"""
+    SELECT l.user_id, l.n, list_count, CASE WHEN due > epoch_ms({_CLOSED}) THEN due END AS due FROM ({_LAST}) l
+    JOIN (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS list_count FROM events GROUP BY 1) USING (user_id)""")
+def state_bootstrap_timers(spark, d):
+    """Value, list, map and timers of the first half as a table; the stream goes on from there."""
+    ev = load_events(spark, d)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    old = F.coalesce(c("ts") < F.lit(lo + (hi - lo) / 2), F.lit(True)) if lo else F.lit(True)
+    types = ev.where(old).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
+    types = types.groupBy("user_id").agg(F.collect_list(F.struct(F.struct("event_type").alias("k"), F.struct("n", "top").alias("v"))).alias("types"))
+    first = ev.where(old).groupBy("user_id").agg(
+        F.struct(F.count(F.lit(1)).alias("n")).alias("total"), F.collect_list(F.when(c("event_type") == "purchase", F.struct("event_id"))).alias("bought"),
+        (F.unix_millis(F.max("ts")) + 6 * 3600 * 1000).alias("timer"))
+    ck, _ = _kept(spark, d, first.join(types, "user_id"), ~old)
+    total = ST.read_state(spark, ck, variable="total").select("key.user_id", "value.n")
+    bought = ST.read_state(spark, ck, variable="bought").groupBy("key.user_id").agg(F.count(F.lit(1)).alias("list_count"))
+    at = ST.read_state(spark, ck, timers=True).select("key.user_id", c("expiration_timestamp_ms").alias("due"))
+    return total.join(bought, "user_id", "left").join(at, "user_id", "left").select("user_id", "n", F.coalesce("list_count", F.lit(0)).alias("list_count"), "due")
+
+
+_PANES = """p AS (SELECT user_id, event_id, time_bucket(INTERVAL 1 DAY, ts) AS window_start, (row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts) ORDER BY ts, event_id) - 1) // 3 AS pane FROM events),
+    q AS (SELECT user_id, window_start, pane, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM p GROUP BY ALL)"""
+
+
+def _panes(spark, d):
+    """Days of a user as elements, fired by every third."""
+    ck = work_dir(spark, "ckpt")
+    sums = lambda key, pane, rows: [(key[0], key[1], pane, len(rows), sum(r["event_id"] for r in rows))]
+    schema = "user_id bigint, window_start timestamp, pane bigint, n bigint, ids bigint"
+
+    def build(s):
+        rows, key = K.in_windows(s.withWatermark("ts", "1 hour"), W.tumble("ts", "1 day"), ["user_id"])
+        return K.process(rows, key, K.WindowElements(["event_id"], "event_id bigint", ["ts", "event_id"], sums, count=3), schema)
+
+    with K.list_state_store(spark):
+        out = replay(load_events(spark, d).select("event_id", "user_id", "ts"), "ts", build, checkpoint=ck)
+    return ck, out
+
+
+@query("stream_trigger_count", f"WITH {_PANES} SELECT * FROM q WHERE n = 3 OR window_start + INTERVAL 1 DAY <= {_CLOSED}")
+def stream_trigger_count(spark, d):
+    _, out = _panes(spark, d)
+    return out.select("user_id", *ntz("window_start"), "pane", "n", "ids")
+
+
+@query("state_window_elements", f"WITH {_PANES} SELECT user_id, window_start, event_id FROM p JOIN q USING (user_id, window_start, pane) WHERE n < 3 AND window_start + INTERVAL 1 DAY > {_CLOSED}")
+def state_window_elements(spark, d):
+    """Elements of the windows that are still open."""
+    ck, _ = _panes(spark, d)
+    s = ST.read_state(spark, ck, variable="elements")
+    return s.select("key.user_id", c("key.window_start").cast("timestamp_ntz").alias("window_start"), "list_element.event_id")
+
+
+@query("state_changes", f"""
+    WITH {_SLICES}, t AS (SELECT user_id, k AS batch, count(*) AS n FROM a JOIN (SELECT unnest([0, 1, 2]) AS k) ON a.slice <= k GROUP BY 1, 2)
+    SELECT CAST(batch AS BIGINT) AS batch, user_id, n FROM t WHERE batch > 0 AND EXISTS (SELECT 1 FROM a WHERE a.user_id = t.user_id AND a.slice = t.batch)""")
+def state_changes(spark, d):
+    """The change feed of the state from the second batch on."""
+    counts = lambda s: s.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    ck = run_slices(spark, _slices(spark, d), lambda s, k: each_batch(counts(s), _drop, "update", k))
+    return ST.read_state(spark, ck, changes_from=1).select(c("batch_id").alias("batch"), "key.user_id", c("value.count").alias("n"))
