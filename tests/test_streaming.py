@@ -68,6 +68,21 @@ def test_batch_matcher_equals_table(spark, ev):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 5
 
 
+@pytest.mark.parametrize("skip", [Skip("past_last"), Skip("to_first", "b"), Skip("to_last", "a"), Skip("next")], ids=lambda s: s.kind)
+def test_skips_across_batches_equal_table(spark, ev, skip):
+    p = begin("a", skip).where("event_type = 'click'").times(2).followed_by("b").where("event_type = 'purchase'").within(48 * HOUR)
+    flatly = lambda m: m.select("user_id", *[F.transform(s, lambda x: x.event_id).alias(s) for s in "ab"])
+    want = flatly(match(ev, p, ["user_id"], "ts", ["event_id"], ["event_id"]).where(c("start_ts") <= F.lit(ev.agg(F.max("ts")).first()[0] - 49 * HOUR))).collect()
+    for cuts in (("2024-01-08", "2024-01-20"), ("2024-01-15", "2024-01-15")):
+        sink = BatchMatcher(spark, p, ["user_id"], "ts", ["event_id"], ["event_id"], HOUR)
+        for i, part in enumerate(by_day(ev, cuts)):
+            sink(part, i)
+            # A retry of the same batch leaves the same.
+            if i == 1:
+                sink(part, i)
+        assert sorted(flatly(sink.matches()).collect()) == sorted(want) and len(want) > 5
+
+
 def test_what_stream_matchers_refuse(spark, ev):
     with pytest.raises(PatternError):
         BatchMatcher(spark, LOOP, ["user_id"], "ts", ["event_id"], [], HOUR)

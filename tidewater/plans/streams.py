@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.pattern import begin
+from tidewater.operators.pattern import Skip, begin
 from tidewater.plans.registry import query
 from tidewater.sources.readers import good_and_broken
 from tidewater.streaming import keyed as K
@@ -243,10 +243,45 @@ def stream_cep_microbatch(spark, d):
     return sink.matches().select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id"))
 
 
+def _skipped(matches: str, after: str) -> str:
+    """Recursive SQL: the first match of each user that starts late enough, again and again, among starts the mark has passed by a day."""
+    return f"""WITH RECURSIVE {_IN_TIME}, m AS (SELECT * FROM ({matches}) WHERE t0 <= (SELECT max(ts) - INTERVAL 1 HOUR - INTERVAL 1 DAY FROM events)),
+      r AS (SELECT user_id, arg_min(a_id, t0) AS a_id FROM m GROUP BY user_id
+            UNION ALL SELECT n.user_id, arg_min(n.a_id, n.t0) FROM r JOIN m o ON o.a_id = r.a_id JOIN m n ON n.user_id = o.user_id AND {after} GROUP BY n.user_id)
+      SELECT m.user_id, m.a_id, m.b_id FROM r JOIN m USING (a_id)"""
+
+
+_IN_TIME = f"{_SLICES}, events AS (SELECT a.* FROM a JOIN w USING (slice) WHERE mark IS NULL OR ts > mark)"
+_CLICKS, _BUYS = (f"(SELECT * FROM events WHERE event_type = '{k}')" for k in ("click", "purchase"))
+_DAY = timedelta(days=1)
+
+
+def _skip_stream(spark, d, pattern):
+    sink = BatchMatcher(spark, pattern.within(_DAY), ["user_id"], "ts", ["event_id"], ["event_id"], HOUR)
+    keep = lambda s: s.select("event_id", "user_id", "event_type", "ts")
+    run_slices(spark, _slices(spark, d), lambda s, ck: each_batch(keep(s), sink, checkpoint=ck))
+    return sink.matches().select("user_id", c("a")[0]["event_id"].alias("a_id"), c("b")[0]["event_id"].alias("b_id"))
+
+
+@query("stream_cep_skip", _skipped(
+    f"SELECT a.user_id, a.event_id AS a_id, a.ts AS t0, b.event_id AS b_id, b.ts AS t1 FROM {_CLICKS} a ASOF JOIN {_BUYS} b ON a.user_id = b.user_id AND a.ts < b.ts WHERE b.ts - a.ts < INTERVAL 1 DAY",
+    "n.t0 > o.t1"))
+def stream_cep_skip(spark, d):
+    """Each match begins after the last event of the one before, across batches."""
+    return _skip_stream(spark, d, begin("a", Skip("past_last")).where("event_type = 'click'").followed_by("b").where("event_type = 'purchase'"))
+
+
+@query("stream_cep_skip_to", _skipped(
+    f"""SELECT x.user_id, x.event_id AS a_id, x.ts AS t0, y.ts AS ty, b.event_id AS b_id, b.ts AS t1 FROM {_CLICKS} x ASOF JOIN {_CLICKS} y ON x.user_id = y.user_id AND x.ts < y.ts
+    ASOF JOIN {_BUYS} b ON y.user_id = b.user_id AND y.ts < b.ts WHERE b.ts - x.ts < INTERVAL 1 DAY""", "n.t0 >= o.ty"))
+def stream_cep_skip_to(spark, d):
+    """Each match begins at the last click of the one before, or later."""
+    return _skip_stream(spark, d, begin("a", Skip("to_last", "a")).where("event_type = 'click'").times(2).followed_by("b").where("event_type = 'purchase'"))
+
+
 _LOOK = begin("x").where("event_type = 'view'").next("y").where("event_type = 'click'").within(6 * HOUR)
 _NOW = begin("x").where("event_type = 'click'").next("y").where("event_type = 'purchase'").within(6 * HOUR)
 _SWITCH = "CASE WHEN event_type = 'signup' AND value < 10 THEN '{0}' WHEN event_type = 'signup' AND value < 20 THEN '{1}' END"
-_IN_TIME = f"{_SLICES}, events AS (SELECT a.* FROM a JOIN w USING (slice) WHERE mark IS NULL OR ts > mark)"
 
 
 def _rule_matcher(spark, d):

@@ -22,11 +22,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.operators import sequence as S
+from tidewater.operators.pattern import skip as skips
 from tidewater.operators.pattern.api import find, shape
 from tidewater.operators.pattern.chain import packed
 from tidewater.operators.pattern.graph import END, build
 from tidewater.operators.pattern.local import Event, Machine, Partial
-from tidewater.operators.pattern.spec import Pattern, PatternError
+from tidewater.operators.pattern.spec import Pattern, PatternError, Skip
 from tidewater.session import work_dir
 
 
@@ -116,6 +117,12 @@ class BatchMatcher:
 
     Between batches it keeps the events newer than (watermark - within) in the
     work folder. A match is written by the batch whose watermark passes its end.
+
+    With a skip strategy a match is held until no match that starts earlier, or with it, can
+    still be completed, that is until the watermark passes its start by ``within``.
+    Matches are then picked in the order of their starts, from the bound that the last one picked
+    left for its key. A bound that lies before all events to come is dropped, so the bounds
+    kept are those of the keys that matched within ``within``.
     """
 
     def __init__(
@@ -124,9 +131,8 @@ class BatchMatcher:
     ):
         if pattern.within_ is None:
             raise PatternError("BatchMatcher needs within(), which bounds the events it keeps")
-        if pattern.skip.kind != "none":
-            raise PatternError("BatchMatcher reports all matches; apply a skip strategy to the sink table")
-        self.spark, self.pattern, self.by, self.ts, self.tie = spark, pattern.check(), list(by), ts, list(tie)
+        self.skip, pattern = pattern.skip, pattern.check().after_match(Skip())
+        self.spark, self.pattern, self.by, self.ts, self.tie = spark, pattern, list(by), ts, list(tie)
         self.payload, self.delay, self.width = list(payload), delay, width
         self.path = path or work_dir(spark, "matcher")
         self.graph = build(pattern)
@@ -147,15 +153,50 @@ class BatchMatcher:
         mark = old if top is None else top - self.delay
         if old is not None and mark < old:
             mark = old
-        # Without any time so far nothing is decided.
-        ends = F.lit(False) if mark is None else F.col("end_ts") <= F.lit(mark)
-        if old is not None:
-            ends = ends & (F.col("end_ts") > F.lit(old))
         found = find(data, self.pattern, self.graph, self.by, self.ts, self.tie, self.payload, self.width, False)
-        shape(found, self.graph, self.pattern).where(ends).write.mode("overwrite").parquet(f"{self.path}/matches/batch={batch_id}")
+        if self.skip.kind == "none":
+            out = found.where(self._between("end_ts", old, mark))
+        else:
+            reach = self.pattern.within_
+            ready = found.where(self._between("start_ts", old and old - reach, mark and mark - reach))
+            out = self._picked(ready, batch_id, mark and mark - reach)
+        shape(out, self.graph, self.pattern).write.mode("overwrite").parquet(f"{self.path}/matches/batch={batch_id}")
         kept = data if mark is None else data.where(F.col(self.ts) > F.lit(mark - self.pattern.within_))
         kept.write.mode("overwrite").parquet(f"{self.path}/kept/batch={batch_id}")
         self.spark.createDataFrame([(mark,)], "mark timestamp").write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
 
+    @staticmethod
+    def _between(at: str, old, mark):
+        """Passed by this batch's mark and not by that of the one before; without any time so far nothing is decided."""
+        if mark is None:
+            return F.lit(False)
+        return (F.col(at) <= F.lit(mark)) & (F.col(at) > F.lit(old) if old is not None else F.lit(True))
+
+    def _picked(self, ready: DataFrame, batch_id: int, horizon) -> DataFrame:
+        """The matches that the skip strategy leaves, after the bounds of the batch before; writes the bounds of this one."""
+        tie = [c for c in self.tie if c != self.ts]
+        order = lambda e: F.struct(
+            F.unix_micros(e[self.ts].cast("timestamp")).alias("t"), *[e[c].alias(f"o{i}") for i, c in enumerate(tie)])
+        if self.skip.kind != "next":
+            ready = ready.withColumn("__po", skips.pivot_ord(self.skip, self.graph, order, F.col("__eo")))
+        old = None
+        if batch_id > 0 and self.skip.kind != "next":
+            old = self.spark.read.parquet(f"{self.path}/bounds/batch={batch_id - 1}")
+            bound = F.col("__bound")
+            beyond = F.col("__so") > bound if self.skip.kind == "past_last" else F.col("__so") >= bound
+            ready = ready.join(old.withColumnRenamed("key", S.KEY), S.KEY, "left").where(bound.isNull() | beyond).drop("__bound")
+        out = skips.apply_skip(ready, self.skip)
+        if self.skip.kind != "next":
+            # Picked matches are written once; the bounds are read from them.
+            out.write.mode("overwrite").parquet(f"{self.path}/picked/batch={batch_id}")
+            out = self.spark.read.schema(out.schema).parquet(f"{self.path}/picked/batch={batch_id}")
+            way = F.greatest(F.coalesce("__po", "__so"), F.col("__so"))
+            bounds = out.select(F.col(S.KEY).alias("key"), way.alias("__bound"))
+            bounds = (bounds.unionByName(old) if old is not None else bounds).groupBy("key").agg(F.max("__bound").alias("__bound"))
+            if horizon is not None:
+                bounds = bounds.where(F.col("__bound.t") > F.unix_micros(F.lit(horizon)))
+            bounds.write.mode("overwrite").parquet(f"{self.path}/bounds/batch={batch_id}")
+        return out
+
     def matches(self) -> DataFrame:
         return self.spark.read.option("basePath", f"{self.path}/matches").parquet(f"{self.path}/matches").drop("batch")
