@@ -331,6 +331,20 @@ def test_language_counts_in_pieces(monkeypatch):
     assert [grams.tolist(), n.tolist()] == want
 
 
+def test_odd_columns_and_ids(spark, docs):
+    """Columns named like those inside, with dots and quotes, and ids at both ends of the range."""
+    line = "a line of more than forty characters that repeats often"
+    ids = [-2**63, -1, 0, 1, 2**63 - 1, None]
+    d = spark.createDataFrame([(i, f"{line}\nown {i}") for i in ids], "doc_id long, text string")
+    got = rows(line_runs.dedup_lines(d), "n_dropped", "kept_text")
+    assert got == {i: (int(i != 2**63 - 1), f"own {i}" if i != 2**63 - 1 else f"{line}\nown {i}") for i in ids if i is not None}
+    odd = d.withColumns({"_t": F.lit(1), "a.b": F.lit("x"), "c`d": F.lit(2), "_id": F.lit("y"), "n_chars": F.lit(0).cast("long")})
+    out = corpus_pipeline.lines(spark, odd, SF)
+    assert out.columns == odd.columns and {(r["a.b"], r["c`d"]) for r in out.collect()} == {("x", 2)}
+    target = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    assert importance.resample(odd, target).count() == len(ids)
+
+
 @pytest.mark.parametrize("batches", [1, 4])
 def test_line_runs(docs, none, batches):
     key = {}

@@ -72,7 +72,8 @@ def features(data: np.ndarray, off: np.ndarray, buckets: int) -> tuple[np.ndarra
 def count_grams(docs: DataFrame, target: DataFrame, text: str, id_col: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """N-grams per bucket in all documents and in the target documents."""
     # TARGET_ROWS ids at most, so this side may be broadcast.
-    marked = docs.join(F.broadcast(target.select(F.col(id_col).alias("_t")).distinct()), F.col(id_col) == F.col("_t"), "left")
+    own_ids = target.select(F.col(id_col).alias("_t")).distinct()
+    marked = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(own_ids), F.col("_id") == F.col("_t"), "left")
 
     def run(batches):
         raw, good = np.zeros(2 * buckets, np.int64), np.zeros(2 * buckets, np.int64)
@@ -88,7 +89,7 @@ def count_grams(docs: DataFrame, target: DataFrame, text: str, id_col: str, buck
             x = at[k:k + (1 << 16)]
             yield pa.RecordBatch.from_pydict({"bucket": x.astype(np.int32), "raw": raw[x], "good": good[x]})
 
-    found = marked.select(text, F.col("_t").isNotNull().alias("own")).mapInArrow(run, "bucket int, raw long, good long")
+    found = marked.select("_text", F.col("_t").isNotNull().alias("own")).mapInArrow(run, "bucket int, raw long, good long")
     raw, good = np.zeros(2 * buckets), np.zeros(2 * buckets)
     # One row per bucket, whatever the size of the corpus.
     table = found.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()

@@ -101,7 +101,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     lo, hi = (ends.lo, ends.hi) if ends.lo is not None else (0, 0)
     step = (hi - lo) // batches + 1
     # Batch 0 has the largest ids.
-    number = F.coalesce(F.floor((F.lit(hi) - F.col("doc_id")) / step), F.lit(batches - 1)).cast("int")
+    wide = lambda x: f"CAST({x} AS DECIMAL(20, 0))"
+    number = F.coalesce(F.expr(f"({wide(f"'{hi}'")} - {wide('doc_id')}) div {wide(f"'{step}'")}"), F.lit(batches - 1)).cast("int")
     path = work_dir(spark, "lines")
     lines.withColumn("batch", number).write.partitionBy("batch").parquet(path)
     schema = "doc_id long, tag long, line_no int, h1 long, h2 long, batch int"
