@@ -34,12 +34,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one; documents of which no word is left go."""
     configure(spark)
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    d = line_runs.dedup_lines(docs, keep=(*rest, "text"))
+    d = line_runs.dedup_lines(docs, keep=tuple(_quoted(c) for c in (*rest, "text")))
     d = d.where("n_full <> 0")
     # A text that lost nothing stays as it was, also a null one.
     text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("more.text"))
-    d = d.select("doc_id", text.alias("text"), *[F.col(f"more.{c}").alias(c) for c in rest])
-    return d.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    d = d.select("doc_id", text.alias("text"), *[F.col(f"more.{_quoted(c)}").alias(c) for c in rest])
+    return d.withColumn("n_chars", F.length("text").cast("long")).select(*[_quoted(c) for c in docs.columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
