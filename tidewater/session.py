@@ -24,6 +24,8 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Rows of whole texts: a Python worker holds a few MB of them at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Row groups of whole texts wait in memory until they are written, one per task.
+    "parquet.block.size": str(32 << 20),
 }
 
 
