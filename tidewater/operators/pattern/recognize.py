@@ -3,8 +3,9 @@
 The row pattern is built from small parts (``var``, ``seq``, ``alt``, ...). A
 pattern of bounded length is spelled out into its variants, in order of
 preference, which run as window functions; among the variants that match at a
-start the most preferred wins. A pattern with ``*`` or ``+`` needs ``within``;
-its (key, time chunk) groups are matched as strings of row classes by a regular
+start the most preferred wins. A pattern with ``*`` or ``+``, or of more variants than a plan
+can hold, runs as an automaton over chunks of each key, however long its matches. With
+``within`` its (key, time chunk) groups are matched as strings of row classes by a regular
 expression, whose backtracking has the required preferences.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import sequence as S
 from tidewater.operators.pattern import chain, skip as skips
 from tidewater.operators.pattern.api import _by_chain
+from tidewater.operators.pattern.automaton import by_automaton
 from tidewater.operators.pattern.graph import START, Edge, Graph, Slot
 from tidewater.operators.pattern.groups import match_groups
 from tidewater.operators.pattern.spec import STRICT, PatternError, Skip
@@ -152,16 +154,16 @@ def match_recognize(
     """
     names = _variables(pattern)
     vs = variants(pattern)
-    if within is None and vs is None:
-        raise PatternError("a pattern with * or + needs within, which bounds its groups")
-    # Spelled-out patterns have no reach, so their chunks are measured.
-    seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if vs is None else None))
+    # Patterns without a time bound have no reach, so their chunks are measured.
+    seq_ = S.sequence(df, partition_by, order_by, tie, width or (within * 4 if vs is None and within else None))
     d = _navigated(df, seq_, navigate or {}, pattern)
     cols = list(dict.fromkeys([order_by, *tie, *(payload or [c for c in d.columns if c not in (*partition_by, "__first", "__last")])]))
     event = F.struct(*[F.col(c) for c in cols])
     us = S.micros(within) if within else None
     if vs is not None:
         found, slots = _spelled(d, seq_, vs, define, event, order_by, us)
+    elif within is None:
+        found, slots = by_automaton(d, seq_, pattern, names, define, event, after_match.kind == "past_last")
     else:
         found, slots = _by_regex(d, seq_, pattern, names, define, event, within)
     tie_fields = [c for c in tie if c != order_by]

@@ -294,6 +294,39 @@ def mr_v_shape(spark, d):
     return m.select("user_id", "strt_id", "n", "downs", "last_id")
 
 
+@query("mr_v_unbounded", """
+    WITH o AS (SELECT user_id, event_id, ts, value, row_number() OVER w AS r, CASE WHEN value < lag(value) OVER w THEN 'D' WHEN value > lag(value) OVER w THEN 'U' ELSE 'N' END AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+         g AS (SELECT *, r - row_number() OVER (PARTITION BY user_id, k ORDER BY r) AS g FROM o),
+         q AS (SELECT *, max(r) OVER (PARTITION BY user_id, k, g) AS run_end FROM g),
+         s AS (SELECT a.user_id, a.event_id, a.r, b.run_end AS e1 FROM q a JOIN q b ON b.user_id = a.user_id AND b.r = a.r + 1 AND b.k = 'D')
+    SELECT s.user_id, s.event_id AS strt_id, f.run_end - s.r + 1 AS n, CAST(s.e1 - s.r AS BIGINT) AS downs, u.event_id AS last_id
+    FROM s JOIN q f ON f.user_id = s.user_id AND f.r = s.e1 + 1 AND f.k = 'U' JOIN q u ON u.user_id = s.user_id AND u.r = f.run_end""")
+def mr_v_unbounded(spark, d):
+    """Falls and rises of any length in rows and time."""
+    m = M.match_recognize(
+        events(spark, d, "value"), ["user_id"], "ts", M.seq("STRT", M.var("DOWN").plus(), M.var("UP").plus()),
+        {"DOWN": "value < prev_value", "UP": "value > prev_value"},
+        {"strt_id": M.first_of("STRT", "event_id"), "n": "CAST(size(ALL_ROWS) AS BIGINT)", "downs": "CAST(size(DOWN) AS BIGINT)", "last_id": M.last_of("UP", "event_id")},
+        tie=["event_id"], navigate={"prev_value": ("value", 1)}, after_match=Skip("next"),
+        subset={"ALL_ROWS": ["STRT", "DOWN", "UP"]}, payload=["event_id"])
+    return m.select("user_id", "strt_id", "n", "downs", "last_id")
+
+
+_FIVE = ("click", "view", "purchase", "signup", "error")
+
+
+@query("mr_permute_five", """
+    SELECT user_id, event_id AS first_id FROM (SELECT user_id, event_id, list(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS l FROM events)
+    WHERE len(list_distinct(l)) = 5""")
+def mr_permute_five(spark, d):
+    """Five rows in a row, one of each kind, in any order."""
+    first = "element_at(array_sort(concat(" + ", ".join(f"transform(V{i}, x -> struct(x.ts, x.event_id))" for i in range(5)) + ")), 1).event_id"
+    m = M.match_recognize(
+        events(spark, d), ["user_id"], "ts", M.permute(*[f"V{i}" for i in range(5)]), {f"V{i}": f"event_type = '{k}'" for i, k in enumerate(_FIVE)},
+        {"first_id": first}, tie=["event_id"], after_match=Skip("next"), payload=["event_id"])
+    return m.select("user_id", "first_id")
+
+
 @query("mr_all_rows", f"""
     WITH m AS (SELECT user_id, ts, event_id AS i0, CASE WHEN t1 = 'view' THEN id1 END AS i1, CASE WHEN t1 = 'view' THEN id2 ELSE id1 END AS i2 FROM ({_LEADS})
                WHERE event_type = 'click' AND ((t1 = 'view' AND t2 = 'purchase') OR t1 = 'purchase')),
