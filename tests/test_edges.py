@@ -14,7 +14,6 @@ from tidewater.functions.json import from_lenient
 from tidewater.functions.udfs import rule_predicate
 from tidewater.operators import changelog as CL
 from tidewater.operators import sequence as S
-from tidewater.operators.pattern import PatternError
 from tidewater.operators.pattern.recognize import match_recognize, var
 from tidewater.operators.ranking import ranked
 from tidewater.plans import all_queries
@@ -79,7 +78,8 @@ def test_rule_text(spark):
     assert spark.range(20).select(c("id").alias("data")).where(rule_predicate("getValue(data) > 10 AND getValue( data ) < 13")).count() == 2
 
 
-def test_loops_need_a_bound(spark):
+def test_loops_need_no_bound(spark):
+    """One match per user that holds all rows, over many chunks."""
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    with pytest.raises(PatternError, match="within"):
-        match_recognize(ev, ["user_id"], "ts", var("A").plus(), {}, {}, width=timedelta(days=1))
+    m = match_recognize(ev, ["user_id"], "ts", var("A").plus(), {}, {"n": "CAST(size(A) AS BIGINT)"}, width=timedelta(days=8), payload=["event_id"])
+    assert {(r.user_id, r.n) for r in m.collect()} == {(r.user_id, r["count"]) for r in ev.groupBy("user_id").count().collect()}

@@ -180,6 +180,6 @@ def test_row_patterns(spark, name, skip):
     assert got == sorted(want)
 
 
-def test_row_pattern_needs_bound(spark):
-    with pytest.raises(PatternError, match="within"):
-        M.match_recognize(frame(spark, {1: letters("AB")}), ["k"], "ts", M.seq("A", V("X").plus()), {}, {})
+def test_row_pattern_without_bound(spark):
+    m = M.match_recognize(frame(spark, {1: letters("ABCAB")}), ["k"], "ts", M.seq("A", V("X").plus()), {"X": "label <> 'A'"}, {"n": "size(X)"})
+    assert sorted(tuple(r) for r in m.collect()) == [(1, 1, 2), (1, 2, 1)]

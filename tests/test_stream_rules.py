@@ -82,7 +82,7 @@ def test_no_rule_and_no_rows(spark, batches):
         matcher(spark, rules={"x": begin("x", Skip("past_last")).where("true").next("y").where("true").within(HOUR)})
 
 
-@pytest.mark.parametrize(("name", "batches"), [("stream_tumble", 1), ("stream_tumble", 20), ("stream_session", 5), ("stream_interval_join", 6), ("stream_cep_event_time", 6), ("stream_json_join", 5)])
+@pytest.mark.parametrize(("name", "batches"), [("stream_tumble", 1), ("stream_tumble", 20), ("stream_interval_join", 4), ("stream_cep_event_time", 4)])
 def test_replay_in_any_number_of_batches(spark, monkeypatch, name, batches):
     replayed = streams.timed
     monkeypatch.setattr(streams, "timed", lambda spark, d, build, n=None, checkpoint=None, **more: replayed(spark, d, build, batches, checkpoint, **more))

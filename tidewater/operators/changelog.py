@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,9 +45,9 @@ def merge(target: DataFrame, source: DataFrame, key: list[str], update: dict[str
     Expressions see target columns as ``t.*`` and source columns as ``s.*``.
     Several source rows for one target row are an error.
     """
-    copies = source.groupBy(*key).agg(F.count(F.lit(1)).alias("__copies"))
     source_columns = source.columns
-    source = source.join(copies, key, "left")
+    # Counted where the join wants the rows anyway, so the source is read and shuffled once.
+    source = source.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
     t, s = target.alias("t"), source.alias("s")
     cond = None
     for k in key:
