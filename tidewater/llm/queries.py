@@ -39,7 +39,18 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)),
+r AS (SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+n AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS new FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM n),
+p AS (SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next FROM (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, g)),
+q AS (SELECT p.doc_id, sum(b - a) AS lost, count(*) AS n, substr(any_value(h), 1, 2 * min(a)) || string_agg(substr(h, 2 * b + 1, 2 * (coalesce(next, len(h) // 2) - b)), '' ORDER BY a) AS kept
+  FROM p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, coalesce(lost, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN q ON q.doc_id = d.doc_id
+""")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(load(spark, sf, "documents")).drop("kept", "spans")
 
