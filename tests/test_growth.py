@@ -1,12 +1,28 @@
 """What must not grow faster than the input: sketches per pair, state that a join looks through, calls to the state."""
 
 import re
+import sys
+from datetime import datetime, timedelta
 
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.plans import all_queries
+from tidewater.session import work_dir
+from tidewater.streaming import keyed as K
+from tidewater.streaming import state as ST
+from tidewater.streaming import windows as W
+from tidewater.streaming.joins import JsonSide, json_join
+from tidewater.streaming.runner import run_slices, write_all
 
+START = datetime(2024, 1, 1)
+HOUR = timedelta(hours=1)
 c = F.col
+# Workers cannot import the tests.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def test_sketches_are_kept_per_event_type_only(spark, tmp_path):
@@ -17,3 +33,29 @@ def test_sketches_are_kept_per_event_type_only(spark, tmp_path):
     plan = out._jdf.queryExecution().sparkPlan().toString()
     sketched = [line for line in plan.splitlines() if "approx_count_distinct" in line and "Aggregate" in line]
     assert sketched and not any("user_id" in re.search(r"keys=\[(.*?)\]", line)[1] for line in sketched)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_outer", "right_outer"])
+def test_json_join_looks_at_reachable_times_only(spark, how):
+    """Bounds on both sides, times on the edges of a stretch, repeated rows, NULL keys and texts without a time."""
+    rows = [(s, i, k, t) for s, shift in (("l", 0), ("r", 100)) for i, (k, t) in enumerate([(1, 0), (1, 3), (1, 3), (2, 7), (1, 11), (None, 5), (1, -4), (2, None), (1, 30), (2, 31)], shift)]
+    rows += [("r", 200 + i, 1 + i % 2, i - 6) for i in range(40)]
+    df = spark.createDataFrame([(s, i, k, t, START + timedelta(hours=t or 0)) for s, i, k, t in rows], "s string, id long, k int, h int, ts timestamp")
+    far = [spark.createDataFrame([(s, -1, None, 400, START + 400 * HOUR) for s in "lr"], df.schema), spark.createDataFrame([(s, -1, None, 800, START + 800 * HOUR) for s in "lr"], df.schema)]
+    body = F.to_json(F.struct("id", "k", F.when(c("h").isNotNull(), F.unix_micros("ts")).alias("t")))
+    out = work_dir(spark, "out")
+
+    def start(s, ckpt):
+        side = lambda name: JsonSide(s.where(c("s") == name).select(body.alias("body")), "body", T.StructType.fromDDL("id bigint, k int, t bigint"), "t")
+        j = json_join(side("l"), side("r"), [("k", "k")], "2 HOURS", "4 HOURS", how)
+        assert "stretch" in j._jdf.queryExecution().analyzed().toString()
+        write_all(j.select(c("left.id").alias("a"), c("right.id").alias("b")), checkpoint=ckpt, path=out)
+
+    run_slices(spark, [df, *far], start)
+    left, right = ([(i, k, t) for x, i, k, t in rows if x == s and t is not None] for s in "lr")
+    want = [(i, j) for i, k, t in left for j, m, u in right if k == m and k is not None and t - 2 <= u <= t + 4]
+    alone = lambda side, met: [i for i, _, _ in side if i not in met]
+    want += [(i, None) for i in alone(left, {a for a, _ in want})] * (how == "left_outer")
+    want += [(None, j) for j in alone(right, {b for _, b in want})] * (how == "right_outer")
+    got = [r for r in map(tuple, spark.read.parquet(out).collect()) if -1 not in r]
+    assert sorted(got, key=str) == sorted(want, key=str)

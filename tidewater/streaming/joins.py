@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence as Seq
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,4 +45,22 @@ def json_join(left: JsonSide, right: JsonSide, on: Seq[tuple[str, str]], before:
     for x, y in on:
         equal = equal & (F.col("left")[x] == F.col("right")[y])
     near = F.expr(f"right_time >= left_time - INTERVAL {before} AND right_time <= left_time + INTERVAL {after}")
-    return a.join(b, equal & near, how).select("left", "right")
+    width = _micros(a.sparkSession, before) + _micros(a.sparkSession, after)
+    if width <= 0 or how == "full_outer":
+        return a.join(b, equal & near, how).select("left", "right")
+    # A row is compared with the state of its key only in the one or two stretches of time it can reach, not with the whole
+    # state of the key. The side that an outer join may emit alone stays single, the other comes once per stretch.
+    stretch = lambda t: F.floor(F.unix_micros(t) / F.lit(width)).cast("long")
+    if how == "right_outer":
+        b = b.withColumn("right_stretch", stretch(F.col("right_time")))
+        lo, hi = (stretch(F.expr(f"left_time {x}")) for x in (f"- INTERVAL {before}", f"+ INTERVAL {after}"))
+        a = a.withColumn("left_stretch", F.explode(F.sequence(lo, hi)))
+    else:
+        a = a.withColumn("left_stretch", stretch(F.col("left_time")))
+        lo, hi = (stretch(F.expr(f"right_time {x}")) for x in (f"- INTERVAL {after}", f"+ INTERVAL {before}"))
+        b = b.withColumn("right_stretch", F.explode(F.sequence(lo, hi)))
+    return a.join(b, equal & (F.col("left_stretch") == F.col("right_stretch")) & near, how).select("left", "right")
+
+
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.unix_micros(F.expr(f"timestamp_micros(0) + INTERVAL {interval}"))).first()[0]
