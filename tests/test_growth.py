@@ -35,6 +35,39 @@ def test_sketches_are_kept_per_event_type_only(spark, tmp_path):
     assert sketched and not any("user_id" in re.search(r"keys=\[(.*?)\]", line)[1] for line in sketched)
 
 
+class Calls:
+    """A state variable or handle that notes the calls made to it."""
+
+    def __init__(self, value=None):
+        self.value, self.made = value, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.made.append(name)
+            return {"exists": self.value is not None, "get": self.value, "listTimers": [1]}.get(name)
+
+        return call
+
+
+def test_calls_to_the_state_of_a_key():
+    """A key that has no value yet is not looked up; of a map, each key is looked up once."""
+    add = lambda old, row: ((old[0] if old else 0) + 1,)
+    p = K.KeyedProcessor([K.Value("n", "n bigint", add), K.Entries("m", "k string", "n bigint", lambda row: (row["k"],), add)], timer=lambda row: 7)
+    rows = [Row(k=k) for k in "xyxyz"]
+
+    def made(value, started=False):
+        p.state, p.handle, p.started = {"n": Calls(value), "m": Calls()}, Calls(), started
+        list(p.handleInputRows(("a",), iter(rows), None))
+        return [p.state["n"].made, p.state["m"].made, p.handle.made]
+
+    put = ["updateValue"] * 3
+    assert made(None) == [["exists", "update"], put, ["registerTimer"]]
+    look = [["get", "update"], ["getValue"] * 3 + put, ["listTimers", "deleteTimer", "registerTimer"]]
+    assert made((1,)) == [["exists", *look[0]], *look[1:]]
+    # With a table to start from, a key may have any state.
+    assert made(None, started=True) == look
+
+
 @pytest.mark.parametrize("how", ["inner", "left_outer", "right_outer"])
 def test_json_join_looks_at_reachable_times_only(spark, how):
     """Bounds on both sides, times on the edges of a stretch, repeated rows, NULL keys and texts without a time."""

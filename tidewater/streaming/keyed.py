@@ -21,6 +21,9 @@ from pyspark.sql.streaming import StatefulProcessor
 
 #: Rows of a key taken at once.
 CHUNK = 10_000
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+#: Start and end in microseconds.
+Window = tuple[int, int]
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -51,8 +54,8 @@ class Value:
     def open(self, handle):
         return handle.getValueState(self.name, self.schema)
 
-    def take(self, state, rows: list[Row]) -> None:
-        now = state.get() if state.exists() else None
+    def take(self, state, rows: list[Row], new: bool = False) -> None:
+        now = None if new else state.get()
         for row in rows:
             now = self.fold(now, row)
         state.update(tuple(now))
@@ -72,10 +75,10 @@ class Items:
     def open(self, handle):
         return handle.getListState(self.name, self.schema)
 
-    def take(self, state, rows: list[Row]) -> None:
-        new = [x for x in map(self.pick, rows) if x is not None]
-        if new:
-            state.appendList(new)
+    def take(self, state, rows: list[Row], new: bool = False) -> None:
+        picked = [x for x in map(self.pick, rows) if x is not None]
+        if picked:
+            state.appendList(picked)
 
     def restore(self, state, saved) -> None:
         if saved:
@@ -95,12 +98,12 @@ class Entries:
     def open(self, handle):
         return handle.getMapState(self.name, self.key_schema, self.schema)
 
-    def take(self, state, rows: list[Row]) -> None:
+    def take(self, state, rows: list[Row], new: bool = False) -> None:
         now: dict[tuple, tuple | None] = {}
         for row in rows:
             k = self.key(row)
             if k not in now:
-                now[k] = state.getValue(k) if state.containsKey(k) else None
+                now[k] = None if new else state.getValue(k)
             now[k] = self.fold(now[k], row)
         for k, v in now.items():
             state.updateValue(k, tuple(v))
@@ -120,6 +123,8 @@ class Emitting(StatefulProcessor):
     """A processor whose output rows get their column names from ``process``."""
 
     names: list[str] = []
+    #: Whether keys may have state that no row of theirs has made.
+    started = False
 
     def close(self) -> None:
         pass
@@ -141,21 +146,30 @@ class KeyedProcessor(Emitting):
         self.handle = handle
         self.state: dict[str, Any] = {v.name: v.open(handle) for v in self.variables}
 
-    def _set(self, at: int | None) -> None:
-        set_ = list(self.handle.listTimers())
-        if at is not None and at > max(set_, default=-1):
+    def _new(self) -> bool:
+        """Every row of a key updates its values: without one of them it has no other state, and nothing is looked up."""
+        value = next((v for v in self.variables if isinstance(v, Value)), None)
+        return not self.started and value is not None and not self.state[value.name].exists()
+
+    def _set(self, at: int | None, new: bool = False) -> None:
+        if at is None:
+            return
+        set_ = [] if new else list(self.handle.listTimers())
+        if at > max(set_, default=-1):
             for old in set_:
                 self.handle.deleteTimer(old)
             self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        at = None
+        at, unseen = None, self._new()
+        new = unseen
         for some in _chunks(rows):
             for v in self.variables:
-                v.take(self.state[v.name], some)
+                v.take(self.state[v.name], some, new)
+            new = False
             if self.timer:
                 at = max([t for t in map(self.timer, some) if t is not None] + ([at] if at is not None else []), default=None)
-        self._set(at)
+        self._set(at, unseen)
         for out in self.emit(key, self.state) if self.emit else ():
             yield Row(**dict(zip(self.names, out, strict=True)))
 
@@ -178,7 +192,7 @@ def process(df: DataFrame, by: Seq[str], processor: Emitting, schema: str, initi
     structs, an array of (key, value) pairs) and optionally ``timer``; one row per key.
     """
     first = initial.groupBy(*by) if initial is not None else None
-    processor.names = T.StructType.fromDDL(schema).names
+    processor.names, processor.started = T.StructType.fromDDL(schema).names, initial is not None
     return df.groupBy(*by).transformWithState(processor, schema, "Append", "EventTime", first)
 
 
