@@ -35,6 +35,37 @@ def test_sketches_are_kept_per_event_type_only(spark, tmp_path):
     assert sketched and not any("user_id" in re.search(r"keys=\[(.*?)\]", line)[1] for line in sketched)
 
 
+def table(spark, rows):
+    return spark.createDataFrame([(k, i, START + h * HOUR) for k, i, h in rows], "k string, id long, ts timestamp")
+
+
+def test_one_timer_per_key_not_per_window(spark):
+    """A key with several open windows: those due together close together, the others wait for the first of them."""
+    def build(s):
+        rows, key = K.in_windows(s.withWatermark("ts", "0 seconds"), W.tumble("ts", "6 hours"), ["k"])
+        assert key == ["k"]
+        p = K.WindowElements(["id"], "id bigint", ["ts", "id"], lambda key, pane, rows: [(key[0], key[1], key[2], pane, [r["id"] for r in rows])], 2)
+        return K.process(rows, key, p, "k string, since timestamp, until timestamp, pane bigint, ids array<bigint>")
+
+    # After the second slice two windows of a are due, one of them at the mark itself.
+    slices = [table(spark, [("a", i, 5 * i) for i in range(1, 5)]), table(spark, [("a", 5, 21), ("a", 10, 24), ("b", 6, 30)]), table(spark, [("a", 7, 31), ("a", 8, 32), ("a", 9, 45)])]
+    out, ck, waiting = work_dir(spark, "out"), work_dir(spark, "ckpt"), []
+
+    def start(s, ckpt):
+        write_all(build(s), checkpoint=ckpt, path=out)
+        waiting.append(sorted((r.k, r["at"]) for r in ST.read_state(spark, ckpt, timers=True).select("key.k", c("expiration_timestamp_ms").alias("at")).collect()))
+
+    with K.list_state_store(spark):
+        run_slices(spark, slices, start, ck)
+    at = lambda h: int((START + h * HOUR - datetime(1970, 1, 1)) / timedelta(milliseconds=1))
+    assert waiting == [[("a", at(24))], [("b", at(36))], [("a", at(48))]]
+    rows = spark.read.parquet(out).withColumns({x: ((F.unix_millis(x) - at(0)) / 3_600_000).cast("int") for x in ("since", "until")})
+    got = sorted((r.k, r.since, r.until, r.pane, r.ids) for r in rows.collect())
+    assert got == [("a", 0, 6, 0, [1]), ("a", 6, 12, 0, [2]), ("a", 12, 18, 0, [3]), ("a", 18, 24, 0, [4, 5]), ("a", 24, 30, 0, [10]), ("a", 30, 36, 0, [7, 8]), ("b", 30, 36, 0, [6])]
+    state = ST.read_state(spark, ck, variable="elements").select("key.k", "list_element.id", F.timestamp_micros("list_element.window_start").alias("since"))
+    assert [(r.k, r.id, r.since) for r in state.collect()] == [("a", 9, START + 42 * HOUR)]
+
+
 class Calls:
     """A state variable or handle that notes the calls made to it."""
 

@@ -461,7 +461,7 @@ def state_window_elements(spark, d):
     """Elements of the windows that are still open."""
     ck, _ = _panes(spark, d)
     s = ST.read_state(spark, ck, variable="elements")
-    return s.select("key.user_id", c("key.window_start").cast("timestamp_ntz").alias("window_start"), "list_element.event_id")
+    return s.select("key.user_id", F.timestamp_micros("list_element.window_start").cast("timestamp_ntz").alias("window_start"), "list_element.event_id")
 
 
 @query("state_changes", f"""

@@ -199,11 +199,13 @@ def process(df: DataFrame, by: Seq[str], processor: Emitting, schema: str, initi
 class WindowElements(Emitting):
     """Windows as lists of their elements, fired by number and by time.
 
-    The key is that of the rows and the window's start and end (instants). Elements are taken in
+    The rows of ``in_windows`` are grouped by their own key alone, and the state holds the elements of all its open windows with
+    the bounds of each (microseconds): a call to the state and a timer per key and batch, not per window. Elements are taken in
     the order of ``order``; every ``count``-th fires the window, which is then emptied, and
     what is left fires when the watermark passes its end. ``last`` and ``span`` evict before a window is
     evaluated: all but the last elements, and those older than the newest by more than ``span`` (on
-    ``ts``). ``evaluate(key, pane, elements)`` gives the rows that come out.
+    ``ts``). ``evaluate(key, pane, elements)`` gives the rows that come out; its key ends with the window's start and end (instants).
+    The rows that a key has in one batch are held at once.
     """
 
     def __init__(self, columns: Seq[str], schema: str, order: Seq[str], evaluate: Callable[[tuple, int, list[Row]], list[tuple]],
@@ -213,46 +215,88 @@ class WindowElements(Emitting):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.elements = handle.getListState("elements", self.schema)
-        self.panes = handle.getValueState("panes", "n bigint")
+        self.elements = handle.getListState("elements", f"window_start bigint, window_end bigint, {self.schema}")
+        self.panes = handle.getListState("panes", "window_start bigint, window_end bigint, n bigint")
+
+    def _held(self) -> dict[Window, list[tuple]]:
+        held: dict[Window, list[tuple]] = {}
+        for start, end, *x in self.elements.get():
+            held.setdefault((start, end), []).append(tuple(x))
+        return held
+
+    def _counted(self) -> dict[Window, int]:
+        """Panes that the open windows have fired; without ``count`` none fires before its end."""
+        return {(start, end): n for start, end, n in self.panes.get()} if self.count is not None else {}
+
+    def _put(self, held: dict[Window, list[tuple]]) -> None:
+        if rows := [(*w, *x) for w, some in held.items() for x in some]:
+            self.elements.put(rows)
+        else:
+            self.elements.clear()
+
+    def _put_counts(self, counted: dict[Window, int]) -> None:
+        if counted:
+            self.panes.put([(*w, n) for w, n in counted.items()])
+        else:
+            self.panes.clear()
 
-    def _fire(self, key: tuple, held: list[tuple]) -> Iterator[Row]:
-        pane = self.panes.get()[0] if self.panes.exists() else 0
-        self.panes.update((pane + 1,))
+    def _fire(self, key: tuple, window: Window, pane: int, held: list[tuple]) -> Iterator[Row]:
         rows = [Row(**dict(zip(self.columns, x, strict=True))) for x in held]
         if self.span is not None and rows:
             newest = max(r[self.ts] for r in rows)
             rows = [r for r in rows if r[self.ts] >= newest - self.span]
         if self.last is not None:
             rows = rows[-self.last:]
-        for out in self.evaluate(key, pane, rows):
+        for out in self.evaluate((*key, *(_EPOCH + timedelta(microseconds=t) for t in window)), pane, rows):
             yield Row(**dict(zip(self.names, out, strict=True)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = sorted((tuple(r[c] for c in (*self.order, *self.columns)) for r in rows))
-        new = [x[len(self.order):] for x in new]
+        new: dict[Window, list[tuple]] = {}
+        for r in rows:
+            new.setdefault((r["window_start"], r["window_end"]), []).append(tuple(r[c] for c in (*self.order, *self.columns)))
+        new = {w: [x[len(self.order):] for x in sorted(some)] for w, some in sorted(new.items())}
         if self.count is None:
-            self.elements.appendList(new)
+            self.elements.appendList([(*w, *x) for w, some in new.items() for x in some])
         else:
-            held = [tuple(x) for x in self.elements.get()] + new if self.elements.exists() else new
-            while len(held) >= self.count:
-                yield from self._fire(key, held[:self.count])
-                held = held[self.count:]
-            if held:
-                self.elements.put(held)
-            else:
-                self.elements.clear()
-        if not list(self.handle.listTimers()):
-            end = key[-1] if key[-1].tzinfo else key[-1].replace(tzinfo=timezone.utc)
-            self.handle.registerTimer(int((end - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(milliseconds=1)))
+            held, counted = self._held(), self._counted()
+            before = dict(counted)
+            for w, some in new.items():
+                some = held.get(w, []) + some
+                while len(some) >= self.count:
+                    yield from self._fire(key, w, counted.get(w, 0), some[:self.count])
+                    counted[w] = counted.get(w, 0) + 1
+                    some = some[self.count:]
+                held[w] = some
+            self._put(held)
+            if counted != before:
+                self._put_counts(counted)
+        self._wait(min(end for _, end in new), list(self.handle.listTimers()))
+
+    def _wait(self, end: int, waiting: Seq[int] = ()) -> None:
+        """One timer per key stands, at the end of the window that closes first."""
+        at = end // 1000
+        if at < min(waiting, default=at + 1):
+            for later in waiting:
+                self.handle.deleteTimer(later)
+            self.handle.registerTimer(at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.elements.exists():
-            yield from self._fire(key, [tuple(x) for x in self.elements.get()])
-        self.elements.clear()
-        self.panes.clear()
+        # A timer expires once the watermark is as late; the key's other windows that are due by then have no timer of their own.
+        mark = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held, counted = self._held(), self._counted()
+        due = [w for w in sorted({*held, *counted}) if w[1] // 1000 <= mark]
+        for w in due:
+            some, pane = held.pop(w, []), counted.pop(w, 0)
+            if some:
+                yield from self._fire(key, w, pane, some)
+        self._put(held)
+        if self.count is not None:
+            self._put_counts(counted)
+        if rest := [end for _, end in {*held, *counted}]:
+            self._wait(min(rest))
 
 
 def in_windows(df: DataFrame, window, by: Seq[str]) -> tuple[DataFrame, list[str]]:
-    """Rows with the bounds of their window, and the key that ``WindowElements`` expects."""
-    return df.withColumn("__w", window).withColumns({"window_start": F.col("__w.start"), "window_end": F.col("__w.end")}).drop("__w"), [*by, "window_start", "window_end"]
+    """Rows with the bounds of their window in microseconds, and the key that ``WindowElements`` expects."""
+    bounds = {f"window_{x}": F.unix_micros(f"__w.{x}") for x in ("start", "end")}
+    return df.withColumn("__w", window).withColumns(bounds).drop("__w"), [*by]
